@@ -24,7 +24,7 @@ from tickloom.operators.parse import (
     usable_records,
 )
 from tickloom.plans import extensions, models, quality, reports
-from tickloom.schemas import TICK_COLUMNS
+from tickloom.schemas import TICK_COLUMNS, TICK_JSON_V1
 from tickloom.session import use_session_defaults
 from tickloom.sources.events import EventTicks, arrival_order, fixture_universe
 from tickloom.sources.files import with_sector
@@ -90,8 +90,12 @@ class Scope:
         return parse_messages(self.source.messages(), keep=keep)
 
     def star(self, since: str | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
-        """Fact and dimensions; ``since`` limits the fact only."""
-        tickers, sectors = models.dimensions(self.ticks(), AS_OF)
+        """Fact and dimensions; ``since`` limits the fact only.
+
+        Repeated ticks agree in ticker, sector and day, so the dimensions are read from
+        the cleaned rows: no de-duplication shuffle for them.
+        """
+        tickers, sectors = models.dimensions(self.source.clean(), AS_OF)
         return models.fct_intraday_ticks(self.ticks(since), tickers, sectors), tickers, sectors
 
     def aggregate(self, since: str) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -170,15 +174,9 @@ def parse_valid(s: Scope) -> DataFrame:
 @query()
 def dlq_records(s: Scope) -> DataFrame:
     letters = as_dead_letters(malformed_messages(s.parsed()))
-
-    def field(name: str):
-        return F.get_json_object("value", f"$.{name}")
-
-    return letters.select(
-        field("json_str").alias("json_str"),
-        field("topic").alias("topic"),
-        field("partition").cast("int").alias("source_partition"),
-        field("offset").cast("bigint").alias("source_offset"),
+    layout = "json_str STRING, topic STRING, partition INT, offset BIGINT"
+    return letters.select(F.inline(F.array(F.from_json("value", layout)))).withColumnsRenamed(
+        {"partition": "source_partition", "offset": "source_offset"}
     )
 
 
@@ -212,19 +210,19 @@ def incremental_new_ticks(s: Scope) -> DataFrame:
 
 @query()
 def to_message_json(s: Scope) -> DataFrame:
-    """Messages read back field by field."""
+    """Messages read back as records."""
     messages = to_messages(s.ticks())
-
-    def field(name: str):
-        return F.get_json_object("value", f"$.{name}")
-
-    return messages.select(
-        field("ticker").alias("ticker"),
-        field("sector").alias("sector"),
-        field("timestamp").alias("event_time"),
-        field("fetch_ts").alias("fetch_time"),
-        *[field(name).cast("double").alias(name) for name in ("open", "high", "low", "close")],
-        field("volume").cast("bigint").alias("volume"),
+    record = F.from_json("value", TICK_JSON_V1, {"mode": "FAILFAST"})
+    return messages.select("value", "headers", F.inline(F.array(record))).select(
+        "ticker",
+        "sector",
+        F.col("timestamp").alias("event_time"),
+        F.col("fetch_ts").alias("fetch_time"),
+        "open",
+        "high",
+        "low",
+        "close",
+        "volume",
         F.size(F.json_object_keys("value")).alias("field_count"),
         header_value(F.col("headers"), "schema_name").alias("schema_name"),
         header_value(F.col("headers"), "schema_version").alias("schema_version"),
@@ -256,7 +254,7 @@ def stg_ticks_14d(s: Scope) -> DataFrame:
 
 @query()
 def dim_ticker(s: Scope) -> DataFrame:
-    return models.dim_ticker(s.ticks(), AS_OF)
+    return models.dim_ticker(s.source.clean(), AS_OF)
 
 
 @query()
@@ -271,7 +269,7 @@ def dim_sector_seeded(s: Scope) -> DataFrame:
 
 @query()
 def active_tickers(s: Scope) -> DataFrame:
-    return reports.active_tickers(models.dim_ticker(s.ticks(), AS_OF))
+    return reports.active_tickers(models.dim_ticker(s.source.clean(), AS_OF))
 
 
 @query()
@@ -466,13 +464,13 @@ def dq_expr_volume_nonneg(s: Scope) -> DataFrame:
 
 @query()
 def dq_sector_coverage(s: Scope) -> DataFrame:
-    return quality.sector_coverage(s.ticks(), s.universe())
+    return quality.sector_coverage(s.source.clean(), s.universe())
 
 
 @query()
 def dq_missing_tickers(s: Scope) -> DataFrame:
     """Listed tickers without a tick in the first hours of today."""
-    return quality.missing_tickers(s.ticks(TODAY), s.universe())
+    return quality.missing_tickers(s.source.clean(TODAY), s.universe())
 
 
 def _all_checks(df: DataFrame) -> DataFrame:
@@ -503,7 +501,7 @@ def freshness(s: Scope) -> DataFrame:
 
 @query()
 def ticker_coverage(s: Scope) -> DataFrame:
-    return quality.ticker_coverage(s.ticks(), s.universe())
+    return quality.ticker_coverage(s.source.clean(), s.universe())
 
 
 # --- extensions --------------------------------------------------------------

@@ -1,6 +1,7 @@
 """Column expressions shared by the operators and plans."""
 
 from tickloom.functions.columns import (
+    TICKER_SUFFIX,
     display_name,
     iso_offset_string,
     market_is_open,
@@ -13,6 +14,7 @@ from tickloom.functions.columns import (
 )
 
 __all__ = [
+    "TICKER_SUFFIX",
     "display_name",
     "iso_offset_string",
     "market_is_open",

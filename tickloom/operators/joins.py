@@ -8,18 +8,19 @@ from pyspark.sql import Column, DataFrame, functions as F
 BROADCAST_ROWS = 500_000
 
 
-def broadcast_within(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast only if ``df`` was counted to be small enough.
+def broadcast_within(df: DataFrame, rows: int, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Hint a broadcast if ``df``, counted by the caller to hold ``rows``, is small.
 
-    Meant for checkpointed or stored dimensions, where the count is cheap. Above the
-    bound the frame is returned as it is: the join then shuffles, and adaptive
-    execution splits its skewed partitions.
+    Above the bound the frame is returned as it is: the join then shuffles, and
+    adaptive execution splits its skewed partitions. The hint survives projections.
     """
-    return F.broadcast(df) if df.count() <= max_rows else df
+    return F.broadcast(df) if rows <= max_rows else df
 
 
-def lookup_key(
-    df: DataFrame, dimension: DataFrame, on: Column, max_rows: int = BROADCAST_ROWS
-) -> DataFrame:
-    """Left join to the (already narrowed) dimension, keeping unmatched rows."""
-    return df.join(broadcast_within(dimension, max_rows), on, "left")
+def lookup_key(df: DataFrame, dimension: DataFrame, on: Column) -> DataFrame:
+    """Left join to the (already narrowed) dimension, keeping unmatched rows.
+
+    The size decides the strategy: freshly keyed dimensions carry a hint if they were
+    counted to be small, stored ones are judged by Spark from their files.
+    """
+    return df.join(dimension, on, "left")

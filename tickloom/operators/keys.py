@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window as W, functions as F
+from itertools import accumulate
 
+from pyspark.sql import DataFrame, functions as F
+
+from tickloom.operators.joins import broadcast_within
 from tickloom.session import cut_lineage
 
 # monotonically_increasing_id(): partition number above, row position below bit 33.
@@ -15,23 +18,20 @@ def with_surrogate_key(df: DataFrame, name: str, order_by: list[str]) -> DataFra
 
     ``row_number()`` over a global order moves every row into one task. Here the rows
     are range-partitioned and sorted, checkpointed so that the ranges cannot move,
-    and numbered as (rows in earlier partitions) + (position in the partition). The
-    broadcast offsets have one row per partition.
+    and numbered as (rows in earlier partitions) + (position in the partition). Only
+    the row count of each partition comes to the driver. The counted total also
+    decides whether joins may broadcast the result.
     """
     keys = [F.col(c).asc_nulls_first() for c in order_by]
     ranged = cut_lineage(df.repartitionByRange(*keys).sortWithinPartitions(*keys))
-    mono = F.col("_mono")
-    placed = ranged.withColumn("_mono", F.monotonically_increasing_id()).select(
-        *df.columns,
-        F.shiftright(mono, POSITION_BITS).alias("_part"),
-        mono.bitwiseAND(F.lit((1 << POSITION_BITS) - 1)).alias("_pos"),
-    )
-    earlier = W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
-    offsets = (
-        placed.groupBy("_part")
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .select("_part", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_offset"))
-    )
-    return placed.join(F.broadcast(offsets), "_part").select(
-        (F.col("_offset") + F.col("_pos") + 1).cast("bigint").alias(name), *df.columns
-    )
+    counts = ranged.groupBy(F.spark_partition_id().alias("part")).count().collect()
+    sizes = [0] * (1 + max((row["part"] for row in counts), default=0))
+    for row in counts:
+        sizes[row["part"]] = row["count"]
+    starts = ", ".join(f"{start}L" for start in accumulate(sizes, initial=1))
+
+    placed = ranged.withColumn("_mono", F.monotonically_increasing_id())
+    part = f"CAST(shiftright(_mono, {POSITION_BITS}) AS INT)"
+    position = f"(_mono & {(1 << POSITION_BITS) - 1}L)"
+    key = F.expr(f"array({starts})[{part}] + {position}").alias(name)
+    return broadcast_within(placed.select(key, *df.columns), sum(sizes))

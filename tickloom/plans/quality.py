@@ -9,10 +9,9 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from tickloom.asof import AsOf
 from tickloom.functions import safe_ratio
-from tickloom.operators.joins import broadcast_within
 from tickloom.operators.rank import top_within
 from tickloom.schemas import DQ_RESULT, TICK_COLUMNS
-from tickloom.sources.reference import ACCEPTED_SECTORS, MAX_LIST_ROWS
+from tickloom.sources.reference import ACCEPTED_SECTORS
 
 # Price tolerance, age limit and the columns that must be filled.
 PRICE_TOLERANCE = 0.001
@@ -146,16 +145,12 @@ def unexpected_values(df: DataFrame, column: str, accepted: Sequence[str]) -> Da
     return outside.groupBy(column).agg(F.count(F.lit(1)).alias("row_count"))
 
 
-def _listed(universe: DataFrame) -> DataFrame:
-    return broadcast_within(universe, MAX_LIST_ROWS)
-
-
 def sector_coverage(ticks: DataFrame, universe: DataFrame) -> DataFrame:
     """Expected, observed and missing tickers of each expected sector.
 
     Ticks are reduced to listed tickers before anything is shuffled.
     """
-    observed = ticks.join(_listed(universe), ["sector", "ticker"]).select("sector", "ticker")
+    observed = ticks.join(universe, ["sector", "ticker"]).select("sector", "ticker")
     seen = observed.groupBy("sector", "ticker").agg(F.lit(1).alias("seen"))
     return (
         universe.join(seen, ["sector", "ticker"], "left")
@@ -170,13 +165,13 @@ def sector_coverage(ticks: DataFrame, universe: DataFrame) -> DataFrame:
 
 def missing_tickers(ticks: DataFrame, universe: DataFrame) -> DataFrame:
     """Listed tickers without a single tick."""
-    observed = ticks.join(_listed(universe.select("ticker")), "ticker", "left_semi")
+    observed = ticks.join(universe.select("ticker"), "ticker", "left_semi")
     return universe.join(observed.select("ticker").distinct(), "ticker", "left_anti")
 
 
 def universe_activity(ticks: DataFrame, universe: DataFrame) -> DataFrame:
     """Tick count of every listed ticker, zero included."""
-    listed = ticks.join(_listed(universe.select("ticker")), "ticker", "left_semi")
+    listed = ticks.join(universe.select("ticker"), "ticker", "left_semi")
     counts = listed.groupBy("ticker").agg(F.count(F.lit(1)).alias("tick_count"))
     return universe.join(counts, "ticker", "left").select(
         "sector", "ticker", F.coalesce("tick_count", F.lit(0)).cast("bigint").alias("tick_count")
@@ -185,7 +180,7 @@ def universe_activity(ticks: DataFrame, universe: DataFrame) -> DataFrame:
 
 def ticker_coverage(ticks: DataFrame, universe: DataFrame) -> DataFrame:
     """Listed tickers with and without data, per day."""
-    listed = ticks.join(_listed(universe.select("ticker")), "ticker", "left_semi")
+    listed = ticks.join(universe.select("ticker"), "ticker", "left_semi")
     daily = listed.groupBy(F.to_date("timestamp").alias("date_id")).agg(
         F.count_distinct("ticker").alias("tickers_succeeded")
     )
@@ -230,7 +225,7 @@ def row_balance(ticks: DataFrame, staged: DataFrame, daily: DataFrame, universe:
 
     Three one-row aggregates; nothing but counts is combined.
     """
-    orphans = ticks.join(_listed(universe.select("ticker")), "ticker", "left_anti")
+    orphans = ticks.join(universe.select("ticker"), "ticker", "left_anti")
     return (
         staged.agg(F.count(F.lit(1)).alias("n")).select(F.lit("staged_rows").alias("measure"), "n")
         .unionByName(

@@ -10,8 +10,9 @@ empty payloads, unknown fields.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
-from tickloom.functions import iso_offset_string
+from tickloom.functions import TICKER_SUFFIX, iso_offset_string
 from tickloom.operators.clean import drop_bad_keys, nan_to_null
 from tickloom.operators.dedup import first_per_key
 from tickloom.schemas import TICK_COLUMNS
@@ -30,6 +31,10 @@ SECTORS = [
     "Infrastructures",
     "Transportation & Logistic",
 ]
+_SECTOR_LITERALS = ", ".join(f"'{sector}'" for sector in SECTORS)
+_NUMBER = "TRY_CAST(get_json_object(props, '$.k') AS BIGINT)"
+# File schemas by path: read from the footer once, not by every query.
+_SCHEMAS: dict[str, StructType] = {}
 TOPIC = "ticks"
 TRUNCATED_LENGTH = 20
 # Arrival order: ids are shuffled inside blocks of this many consecutive events.
@@ -45,10 +50,6 @@ def fixture_universe() -> dict[str, list[str]]:
     }
 
 
-def every(modulus: int) -> Column:
-    return F.col("event_id") % modulus == 7
-
-
 def arrival_order() -> Column:
     """A unique arrival number that lets rows overtake each other within a block."""
     within = F.col("event_id") % ARRIVAL_BLOCK
@@ -68,37 +69,35 @@ class EventTicks:
         self.folder = folder
 
     def events(self, since: str | None = None, until: str | None = None) -> DataFrame:
-        events = self.spark.read.parquet(f"{self.folder}/events.parquet")
-        kind = dict(events.dtypes)["ts"]
+        path = f"{self.folder}/events.parquet"
+        if path not in _SCHEMAS:
+            _SCHEMAS[path] = self.spark.read.parquet(path).schema
+        events = self.spark.read.schema(_SCHEMAS[path]).parquet(path)
+        kind = _SCHEMAS[path]["ts"].dataType.simpleString()
         if since:
-            events = events.filter(F.col("ts") >= F.lit(since).cast(kind))
+            events = events.filter(f"ts >= CAST('{since}' AS {kind})")
         if until:
-            events = events.filter(F.col("ts") < F.lit(until).cast(kind))
+            events = events.filter(f"ts < CAST('{until}' AS {kind})")
         return events
 
     def raw(self, since: str | None = None, until: str | None = None) -> DataFrame:
-        number = F.get_json_object("props", "$.k").try_cast("bigint")
-        value, user = F.col("value"), F.col("user_id")
-        sector = F.element_at(F.array(*[F.lit(s) for s in SECTORS]), (user % 11 + 1).cast("int"))
-        drift = 1 + ((F.col("event_id") % 21) - 10).cast("double") / 1000
-        return self.events(since, until).select(
+        return self.events(since, until).selectExpr(
             "event_id",
             "user_id",
-            F.when(every(211), None)
-            .when(every(223), "")
-            .otherwise(F.concat(F.lit("U"), F.lpad(user.cast("string"), 6, "0"), F.lit(".JK")))
-            .alias("ticker"),
-            sector.alias("sector"),
-            F.date_trunc("hour", F.col("ts").cast("timestamp")).alias("timestamp"),
-            F.col("ts").cast("timestamp").alias("fetch_ts"),
-            F.when(every(101), float("nan")).otherwise(value).alias("open"),
-            (value * 1.02).alias("high"),
-            (value * 0.98).alias("low"),
-            F.when(every(131), None)
-            .when(every(97), value * 1.05)
-            .otherwise(value * drift)
-            .alias("close"),
-            F.when(every(127), None).when(every(113), -number - 1).otherwise(number).alias("volume"),
+            f"""CASE WHEN event_id % 211 = 7 THEN NULL WHEN event_id % 223 = 7 THEN ''
+                ELSE concat('U', lpad(CAST(user_id AS STRING), 6, '0'), '{TICKER_SUFFIX}')
+                END AS ticker""",
+            f"element_at(array({_SECTOR_LITERALS}), CAST(user_id % 11 + 1 AS INT)) AS sector",
+            "date_trunc('HOUR', CAST(ts AS TIMESTAMP)) AS timestamp",
+            "CAST(ts AS TIMESTAMP) AS fetch_ts",
+            "CASE WHEN event_id % 101 = 7 THEN double('NaN') ELSE value END AS open",
+            "value * 1.02D AS high",
+            "value * 0.98D AS low",
+            """CASE WHEN event_id % 131 = 7 THEN NULL
+                WHEN event_id % 97 = 7 THEN value * 1.05D
+                ELSE value * (1D + CAST(event_id % 21 - 10 AS DOUBLE) / 1000D) END AS close""",
+            f"""CASE WHEN event_id % 127 = 7 THEN NULL
+                WHEN event_id % 113 = 7 THEN -{_NUMBER} - 1 ELSE {_NUMBER} END AS volume""",
         )
 
     def clean(self, since: str | None = None, until: str | None = None) -> DataFrame:
@@ -124,22 +123,19 @@ class EventTicks:
             "close",
             "volume",
         )
-        text = F.col("text")
-        with_extra = F.concat(text.substr(F.lit(1), F.length(text) - 1), F.lit(',"bid":1.5}'))
-        payload = (
-            F.when(every(89), text.substr(1, TRUNCATED_LENGTH))
-            .when(every(179), "")
-            .when(every(83), with_extra)
-            .otherwise(text)
-        )
+        payload = f"""CASE WHEN event_id % 89 = 7 THEN substring(text, 1, {TRUNCATED_LENGTH})
+            WHEN event_id % 179 = 7 THEN ''
+            WHEN event_id % 83 = 7
+              THEN concat(substring(text, 1, length(text) - 1), ',"bid":1.5}}')
+            ELSE text END AS value"""
         return (
             self.raw()
             .select("event_id", "user_id", "fetch_ts", F.to_json(record).alias("text"))
-            .select(
-                payload.alias("value"),
-                F.lit(TOPIC).alias("topic"),
-                (F.col("user_id") % 4).cast("int").alias("partition"),
-                F.col("event_id").alias("offset"),
-                F.col("fetch_ts").alias("received_ts"),
+            .selectExpr(
+                payload,
+                f"'{TOPIC}' AS topic",
+                "CAST(user_id % 4 AS INT) AS partition",
+                "event_id AS offset",
+                "fetch_ts AS received_ts",
             )
         )

@@ -5,9 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tickloom.functions import null_if_nan
-from tickloom.operators.joins import broadcast_within
 from tickloom.schemas import PRICE_COLUMNS, TICK
-from tickloom.sources.reference import MAX_LIST_ROWS
 
 CANDLE = T.StructType(
     [
@@ -31,7 +29,7 @@ def read_candles(
 
 def with_sector(candles: DataFrame, universe: DataFrame) -> DataFrame:
     """Attach the sector of each listed ticker; unlisted tickers are left out."""
-    return candles.join(broadcast_within(universe, MAX_LIST_ROWS), "ticker").select(
+    return candles.join(universe, "ticker").select(
         "ticker",
         "sector",
         "timestamp",

@@ -42,14 +42,14 @@ MAX_LIST_ROWS = 10_000
 
 
 def universe(spark: SparkSession, mapping: dict[str, list[str]] | None = None) -> DataFrame:
-    """(sector, ticker) rows of a sector -> tickers mapping."""
+    """(sector, ticker) rows of a sector -> tickers mapping; small enough to broadcast."""
     mapping = SECTOR_TICKERS if mapping is None else mapping
     if sum(len(tickers) for tickers in mapping.values()) > MAX_LIST_ROWS:
         raise ValueError("keep a universe this large in a table")
     lists = spark.createDataFrame(
         list(mapping.items()), "sector STRING, tickers ARRAY<STRING>"
     )
-    return lists.select("sector", F.explode("tickers").alias("ticker"))
+    return F.broadcast(lists.select("sector", F.explode("tickers").alias("ticker")))
 
 
 def sector_mapping(spark: SparkSession) -> DataFrame:
