@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tickloom import AsOf
 from tickloom.operators.joins import broadcast_within
 from tickloom.operators.keys import with_surrogate_key
+from tickloom.operators.rank import with_rank_in_large_groups, with_row_number
 from tickloom.plans import extensions, models, reports
 from tickloom.sources.events import EventTicks
 from tickloom.sources.reference import SECTOR_MAPPING, SECTOR_TICKERS, read_seed, sector_mapping, universe
@@ -160,6 +161,20 @@ def test_surrogate_keys_are_consecutive_and_ordered(spark, values):
     assert got == list(enumerate(expected, start=1))
 
 
+@pytest.mark.parametrize("coalesce", ["true", "false"])
+def test_rank_in_large_groups_equals_a_window(spark, coalesce):
+    df = spark.range(6000).selectExpr(
+        "IF(id % 3 = 0, 'hot', IF(id % 101 = 0, NULL, CAST(id % 7 AS STRING))) AS g", "id % 40 AS v", "id"
+    )
+    order = [F.col("v").desc(), F.col("id").asc()]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", coalesce)
+    try:
+        got = with_rank_in_large_groups(df, "r", ["g"], order)
+        assert sorted(got.select("id", "r").collect()) == sorted(with_row_number(df, "r", ["g"], order).select("id", "r").collect())
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
 def test_surrogate_keys_over_many_partitions(spark):
     df = spark.range(20000).select(F.format_string("T%06d", (F.col("id") * 7919) % 20011).alias("code"))
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")

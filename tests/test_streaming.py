@@ -9,9 +9,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from tickloom.operators.clean import clean_ticks
+from tickloom.operators.message import to_messages, write_messages
 from tickloom.operators.parse import parse_messages, usable_records
 from tickloom.sources.messages import file_messages, file_stream
-from tickloom.streaming.flow import PARSE_METRICS, TICK_METRICS, start_flow, tick_flow
+from tickloom.streaming.flow import PARSE_METRICS, TICK_METRICS, start_flow, tick_flow, to_files, to_topic
 from tickloom.streaming.highwater import HighWaterSink, start_high_water
 from tickloom.streaming.monitor import PROGRESS_SCHEMA, ProgressLog, progress_frame, recent_progress
 
@@ -38,7 +39,7 @@ class Feed:
 
     def run(self, salts=8):
         flow = tick_flow(file_stream(self.spark, str(self.root / "in"), max_files=1), salts=salts)
-        queries = start_flow(flow, str(self.root / "ticks"), str(self.root / "rejects"), str(self.root / "cp"))
+        queries = start_flow(flow, str(self.root / "ticks"), to_files(str(self.root / "rejects")), str(self.root / "cp"))
         for query in queries:
             query.awaitTermination()
         return queries
@@ -168,3 +169,16 @@ def test_repeating_a_batch_changes_nothing(spark, tmp_path):
     sink(second, 1)
     sink(second, 1)
     assert sorted(r.offset for r in sink.rows(spark, first.schema).collect()) == [0, 1]
+
+
+def test_dead_letter_topic_options():
+    assert to_topic("host:9092", "ticks") == {"format": "kafka", "kafka.bootstrap.servers": "host:9092", "topic": "ticks_dlq"}
+
+
+def test_messages_written_to_files_flow_through(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.txt").write_text("\n".join([tick("A", "02:00"), tick("B", "02:00")]))
+    ticks = tick_flow(file_messages(spark, str(tmp_path / "in"))).ticks
+    write_messages(to_messages(ticks), str(tmp_path / "out"))
+    again = tick_flow(file_messages(spark, str(tmp_path / "out"))).ticks
+    assert sorted(again.collect()) == sorted(ticks.collect())

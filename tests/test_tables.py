@@ -31,6 +31,12 @@ def test_round_trip_and_partition_pruning(spark, make_ticks, tmp_path):
     assert "PartitionFilters: [isnotnull(date_id" in plan_of(pruned)
 
 
+def test_rebalanced_layout_keeps_every_row(spark, make_ticks, tmp_path):
+    ticks, path = dated(sample(make_ticks)), str(tmp_path / "ticks")
+    assert write_table(ticks, path, "date_id", ["ticker"], layout="rebalance") == ticks.count()
+    assert sorted(spark.read.parquet(path).select(*ticks.columns).collect()) == sorted(ticks.collect())
+
+
 def test_hot_day_is_written_by_several_tasks(spark, make_ticks, tmp_path):
     rows = [(f"T{i:04d}", "S", f"2024-01-30 03:{i % 60:02d}:00", 1.0, 1.0, i) for i in range(2000)]
     path = str(tmp_path / "ticks")

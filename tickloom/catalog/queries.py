@@ -98,9 +98,9 @@ class Scope:
         tickers, sectors = models.dimensions(self.source.clean(), AS_OF)
         return models.fct_intraday_ticks(self.ticks(since), tickers, sectors), tickers, sectors
 
-    def aggregate(self, since: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    def ticker_stats(self, since: str) -> tuple[DataFrame, DataFrame, DataFrame]:
         fact, tickers, sectors = self.star(since)
-        return extensions.daily_ticker_aggregate(fact, AS_OF), tickers, sectors
+        return extensions.daily_ticker_stats(fact, AS_OF), tickers, sectors
 
 
 def query(name: str | None = None, rounded: tuple[str, ...] = ()):
@@ -509,8 +509,8 @@ def ticker_coverage(s: Scope) -> DataFrame:
 
 @query()
 def agg_daily_ticker(s: Scope) -> DataFrame:
-    aggregate, _, _ = s.aggregate(WEEK_START)
-    return aggregate
+    stats, _, _ = s.ticker_stats(WEEK_START)
+    return extensions.daily_ticker_aggregate(stats)
 
 
 @query()
@@ -520,13 +520,13 @@ def agg_sector_hourly(s: Scope) -> DataFrame:
 
 @query()
 def view_top5_sector_by_volume(s: Scope) -> DataFrame:
-    return extensions.top5_view(*s.aggregate(TODAY), AS_OF)
+    return extensions.top5_view(*s.ticker_stats(TODAY), AS_OF)
 
 
 @query()
 def view_market_summary(s: Scope) -> DataFrame:
-    aggregate, _, _ = s.aggregate(TODAY)
-    return extensions.market_summary(aggregate, AS_OF)
+    stats, _, _ = s.ticker_stats(TODAY)
+    return extensions.market_summary(stats, AS_OF)
 
 
 @query()

@@ -1,10 +1,10 @@
-"""Consecutive surrogate keys without a single-task sort."""
+"""Consecutive row numbers without a single-task sort."""
 
 from __future__ import annotations
 
 from itertools import accumulate
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tickloom.operators.joins import broadcast_within
 from tickloom.session import cut_lineage
@@ -13,17 +13,15 @@ from tickloom.session import cut_lineage
 POSITION_BITS = 33
 
 
-def with_surrogate_key(df: DataFrame, name: str, order_by: list[str]) -> DataFrame:
-    """Number the rows 1..n in the order of ``order_by`` (NULL first).
+def number_rows(df: DataFrame, name: str, order_by: list[Column]) -> tuple[DataFrame, int]:
+    """Number the rows 1..n in the given order; returns the frame and n.
 
     ``row_number()`` over a global order moves every row into one task. Here the rows
     are range-partitioned and sorted, checkpointed so that the ranges cannot move,
     and numbered as (rows in earlier partitions) + (position in the partition). Only
-    the row count of each partition comes to the driver. The counted total also
-    decides whether joins may broadcast the result.
+    the row count of each partition comes to the driver.
     """
-    keys = [F.col(c).asc_nulls_first() for c in order_by]
-    ranged = cut_lineage(df.repartitionByRange(*keys).sortWithinPartitions(*keys))
+    ranged = cut_lineage(df.repartitionByRange(*order_by).sortWithinPartitions(*order_by))
     counts = ranged.groupBy(F.spark_partition_id().alias("part")).count().collect()
     sizes = [0] * (1 + max((row["part"] for row in counts), default=0))
     for row in counts:
@@ -33,5 +31,14 @@ def with_surrogate_key(df: DataFrame, name: str, order_by: list[str]) -> DataFra
     placed = ranged.withColumn("_mono", F.monotonically_increasing_id())
     part = f"CAST(shiftright(_mono, {POSITION_BITS}) AS INT)"
     position = f"(_mono & {(1 << POSITION_BITS) - 1}L)"
-    key = F.expr(f"array({starts})[{part}] + {position}").alias(name)
-    return broadcast_within(placed.select(key, *df.columns), sum(sizes))
+    number = F.expr(f"array({starts})[{part}] + {position}").alias(name)
+    return placed.select(number, *df.columns), sum(sizes)
+
+
+def with_surrogate_key(df: DataFrame, name: str, order_by: list[str]) -> DataFrame:
+    """Keys 1..n in the order of the columns (NULL first).
+
+    The counted total decides whether joins may broadcast the result.
+    """
+    keyed, rows = number_rows(df, name, [F.col(c).asc_nulls_first() for c in order_by])
+    return broadcast_within(keyed, rows)

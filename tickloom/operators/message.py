@@ -28,3 +28,19 @@ def to_messages(ticks: DataFrame) -> DataFrame:
         F.to_json(record, {"ignoreNullFields": "false"}).alias("value"),
         headers.alias("headers"),
     )
+
+
+def write_messages(messages: DataFrame, path: str) -> None:
+    """Append the messages to files, one per line; headers stay with a topic sink."""
+    messages.select("value").write.mode("append").text(path)
+
+
+def publish_messages(messages: DataFrame, servers: str, topic: str) -> None:
+    """Send values and headers to a topic; needs the Kafka package on the class path."""
+    (
+        messages.write.format("kafka")
+        .option("kafka.bootstrap.servers", servers)
+        .option("topic", topic)
+        .option("includeHeaders", "true")
+        .save()
+    )

@@ -23,17 +23,31 @@ def write_table(
     cluster_by: Sequence[str] = (),
     spread_by: Sequence[str] = (),
     replace: str = "all",
+    layout: str = "range",
 ) -> int:
     """Write ``df`` as a table, return its row count (observed during the write).
 
-    Rows are range-partitioned by (day, cluster columns, spread columns): files cover
-    narrow key ranges, and a day or key holding much of the table is still cut into
-    many tasks. ``replace``: ``all`` for a full refresh, ``partitions`` to replace only
-    the days present in ``df``, ``nothing`` to append.
+    ``layout`` decides how rows reach the writing tasks. Either way a day or key that
+    holds much of the table is cut into many tasks, and rows are sorted in the files.
+
+    - ``range``: by ranges of (day, cluster columns, spread columns), so that each file
+      covers a narrow key range. Spark samples the input first, which costs a second
+      pass over a plan that does not end in a shuffle.
+    - ``rebalance``: by day, with adaptive execution splitting large days into parts of
+      the advisory size. One pass; files follow the order of the input.
+
+    ``replace``: ``all`` for a full refresh, ``partitions`` to replace only the days
+    present in ``df``, ``nothing`` to append.
     """
     keys = [c for c in (partition_by, *cluster_by, *spread_by) if c]
-    rows = df.repartitionByRange(*keys).sortWithinPartitions(*keys) if keys else df
-    # Counted behind the exchange: its sampling pass would count the input twice.
+    rows = df
+    if layout == "rebalance" and partition_by:
+        rows = rows.hint("rebalance", partition_by)
+    elif keys:
+        rows = rows.repartitionByRange(*keys)
+    if keys:
+        rows = rows.sortWithinPartitions(*keys)
+    # Counted behind the exchange: a sampling pass would count the input twice.
     seen = Observation()
     rows = rows.observe(seen, F.count(F.lit(1)).alias("rows"))
     writer = rows.write.mode("append" if replace == "nothing" else "overwrite")

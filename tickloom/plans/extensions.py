@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from tickloom.asof import AsOf
 from tickloom.functions import safe_ratio
-from tickloom.operators.rank import with_row_number
+from tickloom.operators.rank import top_within, with_rank_in_large_groups
 from tickloom.plans.models import FLAT_CHANGE, TOP_N, candle_stats
 
 AGG_DAYS = 7
@@ -16,15 +16,24 @@ def _day_number(day: str = "date_id") -> Column:
     return F.unix_date(F.col(day))
 
 
-def daily_ticker_aggregate(fact: DataFrame, as_of: AsOf = AsOf(), days: int = AGG_DAYS) -> DataFrame:
-    """Daily candles per ticker key, ranked by volume within the sector-day."""
+def daily_ticker_stats(fact: DataFrame, as_of: AsOf = AsOf(), days: int = AGG_DAYS) -> DataFrame:
+    """Daily candles per ticker key."""
     recent = fact.filter(F.col("timestamp") >= as_of.days_before_now(days)).withColumn(
         "date_id", F.to_date("timestamp")
     )
     stats = candle_stats(recent, ["ticker_sk", "sector_sk", "date_id"])
-    order = [F.col("total_volume").desc_nulls_last(), F.col("ticker_sk").asc()]
-    ranked = with_row_number(stats, "volume_rank_in_sector", ["sector_sk", "date_id"], order)
-    return ranked.drop("first_tick_ts", "last_tick_ts", "tick_count")
+    return stats.drop("first_tick_ts", "last_tick_ts", "tick_count")
+
+
+def _by_volume() -> list[Column]:
+    return [F.col("total_volume").desc_nulls_last(), F.col("ticker_sk").asc()]
+
+
+def daily_ticker_aggregate(stats: DataFrame) -> DataFrame:
+    """Every ticker's volume rank within its sector-day."""
+    return with_rank_in_large_groups(
+        stats, "volume_rank_in_sector", ["sector_sk", "date_id"], _by_volume()
+    )
 
 
 def sector_hourly(staged: DataFrame) -> DataFrame:
@@ -41,11 +50,12 @@ def sector_hourly(staged: DataFrame) -> DataFrame:
 
 
 def top5_view(
-    aggregate: DataFrame, tickers: DataFrame, sectors: DataFrame, as_of: AsOf = AsOf()
+    stats: DataFrame, tickers: DataFrame, sectors: DataFrame, as_of: AsOf = AsOf()
 ) -> DataFrame:
-    """Today's most traded tickers by name. The rank filter comes before the joins."""
-    top = aggregate.filter(
-        (F.col("date_id") == as_of.today) & (F.col("volume_rank_in_sector") <= TOP_N)
+    """Today's most traded tickers by name; five rows per sector reach the joins."""
+    today = stats.filter(F.col("date_id") == as_of.today)
+    top = top_within(
+        today, TOP_N, "volume_rank_in_sector", ["sector_sk", "date_id"], _by_volume()
     )
     return (
         top.join(tickers.select("ticker_sk", "ticker_code"), "ticker_sk")
@@ -54,9 +64,9 @@ def top5_view(
     )
 
 
-def market_summary(aggregate: DataFrame, as_of: AsOf = AsOf()) -> DataFrame:
+def market_summary(stats: DataFrame, as_of: AsOf = AsOf()) -> DataFrame:
     change = F.col("price_change_pct")
-    return aggregate.filter(F.col("date_id") == as_of.today).agg(
+    return stats.filter(F.col("date_id") == as_of.today).agg(
         F.count_distinct("ticker_sk").alias("total_tickers"),
         F.avg(change).alias("avg_market_change"),
         F.count_if(change > 0).alias("gainers"),
@@ -114,12 +124,13 @@ def sector_trend(summary: DataFrame) -> DataFrame:
 def ticker_history(ticks: DataFrame) -> DataFrame:
     """Type-2 history of a ticker's sector: one row per period of unchanged sector.
 
-    Ticks are reduced to one row per ticker and day first; when a day saw several
-    sectors, the latest tick decides.
+    Ticks are reduced to days first; when a day saw several sectors, the latest tick
+    decides. The first step keeps only a time in its aggregation buffer, so it stays a
+    hash aggregation over the ticks; the text column is picked from the few rows left.
     """
-    daily = ticks.groupBy("ticker", F.to_date("timestamp").alias("date_id")).agg(
-        F.max_by("sector", "timestamp").alias("sector")
-    )
+    day = F.to_date("timestamp").alias("date_id")
+    seen = ticks.groupBy("ticker", day, "sector").agg(F.max("timestamp").alias("last_ts"))
+    daily = seen.groupBy("ticker", "date_id").agg(F.max_by("sector", "last_ts").alias("sector"))
     by_day = W.partitionBy("ticker").orderBy("date_id")
     changed = ~F.col("sector").eqNullSafe(F.lag("sector").over(by_day))
     first = F.row_number().over(by_day) == 1

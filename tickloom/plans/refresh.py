@@ -24,6 +24,7 @@ class Model:
     partition_by: str | None = None
     cluster_by: tuple[str, ...] = ()
     spread_by: tuple[str, ...] = ()
+    layout: str = "range"
 
 
 @dataclass
@@ -48,7 +49,8 @@ def _fact(built: Built) -> DataFrame:
 MODELS = [
     Model("dim_ticker", "intermediate", lambda b: models.dim_ticker(b.ticks, b.as_of), cluster_by=("ticker_code",)),
     Model("dim_sector", "intermediate", lambda b: models.dim_sector(b["dim_ticker"])),
-    Model("fct_intraday_ticks", "marts", _fact, "date_id", ("ticker_sk", "sector_sk"), ("timestamp",)),
+    # As large as the ticks themselves: written in one pass.
+    Model("fct_intraday_ticks", "marts", _fact, "date_id", ("ticker_sk", "sector_sk"), ("timestamp",), "rebalance"),
     Model(
         "int_daily_stock_stats",
         "intermediate",
@@ -92,7 +94,7 @@ def _refresh_one(spark: SparkSession, model: Model, built: Built, root: str, rep
     how = replace if model.partition_by else "all"
     try:
         frame = model.build(built)
-        rows = write_table(frame, path, model.partition_by, model.cluster_by, model.spread_by, how)
+        rows = write_table(frame, path, model.partition_by, model.cluster_by, model.spread_by, how, model.layout)
         built.tables[model.name] = spark.read.schema(frame.schema).parquet(path)
         return (model.name, "ok", rows, path)
     except Exception as error:

@@ -107,15 +107,15 @@ def tick_metrics(sectors: list[str] | None = None) -> list[Column]:
 def start_flow(
     flow: Flow,
     ticks_path: str,
-    rejects_path: str,
+    rejects_sink: dict[str, str],
     checkpoint_path: str,
     trigger: dict | None = None,
 ) -> tuple[StreamingQuery, StreamingQuery]:
     """Start both writers, each with its own checkpoint.
 
-    File sink and checkpoint together write every accepted tick exactly once. The
-    number of state partitions is fixed by ``spark.sql.shuffle.partitions`` at the
-    first start.
+    ``rejects_sink`` comes from ``to_files`` or ``to_topic``. File sink and checkpoint
+    together write every accepted tick exactly once. The number of state partitions is
+    fixed by ``spark.sql.shuffle.partitions`` at the first start.
     """
     trigger = trigger or {"availableNow": True}
     dated = flow.ticks.withColumn("date_id", F.to_date("timestamp"))
@@ -129,10 +129,11 @@ def start_flow(
         .trigger(**trigger)
         .start()
     )
+    options = dict(rejects_sink)
     rejects = (
         flow.rejects.writeStream.queryName("rejects")
-        .format("text")
-        .option("path", rejects_path)
+        .format(options.pop("format"))
+        .options(**options)
         .option("checkpointLocation", f"{checkpoint_path}/rejects")
         .outputMode("append")
         .trigger(**trigger)
@@ -141,6 +142,16 @@ def start_flow(
     return ticks, rejects
 
 
+def to_files(path: str) -> dict[str, str]:
+    """Dead letters as lines of text files."""
+    return {"format": "text", "path": path}
+
+
+def to_topic(servers: str, topic: str) -> dict[str, str]:
+    """Dead letters to the topic's dead-letter topic; needs the Kafka package."""
+    return {"format": "kafka", "kafka.bootstrap.servers": servers, "topic": f"{topic}_dlq"}
+
+
 def run_until_any_stops(*queries: StreamingQuery, poll_seconds: int = 1) -> None:
     """Block until any of the writers ends, then stop the others."""
     while all(query.isActive for query in queries):
