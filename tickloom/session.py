@@ -35,6 +35,8 @@ def build_session(
     settings = {
         **SQL_SETTINGS,
         "spark.sql.streaming.stateStore.providerClass": ROCKSDB_STATE_STORE,
+        # Checkpoint files go when the frame that made them is collected.
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         **(conf or {}),
     }
     for key, value in settings.items():
