@@ -49,6 +49,12 @@ def test_anomalies_scan_once(plan):
     assert plan("mrt_volume_anomalies").count("FileScan") == 1
 
 
+def test_high_water_levels_share_their_shuffle(spark):
+    result = QUERIES["high_water_mark_dedup"](spark, DATA)
+    result.collect()
+    assert "ReusedExchange" in plan_of(result)
+
+
 def test_quality_log_scans_once(plan):
     assert plan("dq_all_checks").count("FileScan") == 1
 

@@ -44,9 +44,11 @@ def highest_so_far(
     marks = highest_so_far(per_bucket, key, bucket, top, earlier, bits, levels - 1).select(
         key, bucket, earlier
     )
+    # Every bucket has its marks. A left join, because an inner one would add a filter to
+    # this side only, and the two uses of ``per_bucket`` would no longer share a shuffle.
     inside = W.partitionBy(key, bucket).orderBy(order).rowsBetween(W.unboundedPreceding, -1)
     return (
-        bucketed.join(marks, [key, bucket])
+        bucketed.join(marks, [key, bucket], "left")
         .withColumn(name, F.greatest(earlier, F.max(value).over(inside)))
         .drop(bucket, earlier)
     )
@@ -65,9 +67,12 @@ def rising_only(
 
     ``known`` optionally holds the marks reached before this data, as
     (key, high_water). Late originals are dropped as well as repeats; that is the
-    rule of the feed. Rows without a time or key cannot be compared and are dropped.
+    rule of the feed. Rows without a time, key or order cannot be compared and are
+    dropped.
     """
-    rows = df.filter(F.col(time).isNotNull() & F.col(key).isNotNull())
+    rows = df.filter(
+        F.col(time).isNotNull() & F.col(key).isNotNull() & F.col(order).isNotNull()
+    )
     if known is not None:
         rows = newer_than(rows, known, key, time)
     marked = highest_so_far(rows, key, order, time, "_mark", bits, levels)
