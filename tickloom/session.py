@@ -35,6 +35,8 @@ def build_session(
     settings = {
         **SQL_SETTINGS,
         "spark.sql.streaming.stateStore.providerClass": ROCKSDB_STATE_STORE,
+        # Recording the Python line of every Column costs more than planning a small query.
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         # Checkpoint files go when the frame that made them is collected.
         "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         **(conf or {}),
