@@ -22,7 +22,8 @@ def source_targets(sized: DataFrame, weights: tuple[float, ...], most: float) ->
     Sources take the weights in turn by code point, null last. A source never gets more
     than ``most`` times its size; what is left over is shared by weight among the others.
     Ordered by size per weight the capped sources come first, so prefix sums decide which
-    are capped. These windows run over one row per source.
+    are capped: the level rises up to the first uncapped one and falls after it. These
+    windows run over one row per source.
     """
     sources = sized.groupBy("source").agg(
         F.sum("size").alias("source_size"), F.min("row").alias("first_row")
@@ -37,7 +38,7 @@ def source_targets(sized: DataFrame, weights: tuple[float, ...], most: float) ->
     level = (
         F.sum("source_size").over(everything) - F.coalesce(F.sum("cap").over(before), F.lit(0.0))
     ) / F.sum("weight").over(onward)
-    shared = F.min(F.when(F.col("weight") * F.col("level") <= F.col("cap"), F.col("level"))).over(
+    shared = F.max(F.when(F.col("weight") * F.col("level") <= F.col("cap"), F.col("level"))).over(
         everything
     )
     return (
@@ -63,6 +64,7 @@ def mix(
     weights: tuple[float, ...] = WEIGHTS,
     most: float = MOST,
     seed: int = 17,
+    draws: int = 16,
 ) -> DataFrame:
     """Copies of each document: ``doc_id, source, size, source_size, target, copies, taken``.
 
@@ -84,9 +86,20 @@ def mix(
     joined = numbered.join(targets, F.col("source").eqNullSafe(F.col("of_source")))
     expected = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     position = F.col("row") - F.col("first_row")
-    start = offset_of(F.col("source"), seed)
-    crossed = F.floor((position + 1) * expected + start) - F.floor(position * expected + start)
-    copies = F.least(crossed, F.lit(int(most))).cast("bigint")
+
+    def crossed(start: Column) -> Column:
+        count = F.floor((position + 1) * expected + start) - F.floor(position * expected + start)
+        return F.least(count, F.lit(int(most))).cast("bigint")
+
+    # A few random starts are tried on every source; the one nearest to its target counts.
+    starts = [offset_of(F.col("source"), seed + draw) for draw in range(draws)]
+    sums = joined.groupBy("source").agg(
+        F.first("target").alias("t"), *[F.sum(crossed(s) * F.col("size")).alias(f"s{i}") for i, s in enumerate(starts)]
+    )
+    tried = F.array(*[F.struct(F.abs(F.col(f"s{i}") - F.col("t")).alias("off"), s.alias("start")) for i, s in enumerate(starts)])
+    chosen = sums.select(F.col("source").alias("started"), F.array_min(tried)["start"].alias("start"))
+    joined = joined.join(chosen, F.col("source").eqNullSafe(F.col("started")))
+    copies = crossed(F.col("start"))
     return joined.select(
         "doc_id", "source", "size", "source_size", "target",
         copies.alias("copies"), (copies * F.col("size")).alias("taken"),

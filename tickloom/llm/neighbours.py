@@ -121,9 +121,11 @@ def build(nodes: DataFrame, degree: int = DEGREE, trees: int = TREES, leaf: int
     return graph
 
 
-@F.pandas_udf("double")
-def inner(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([float(np.dot(x, y)) for x, y in zip(a, b)])
+def inner(source: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Inner products in double precision."""
+    for frame in source:
+        scores = [float(np.dot(x, y)) for x, y in zip(frame["_v"], frame["vector"])]
+        yield frame[["query", "node"]].assign(score=np.array(scores, float))
 
 
 def search(queries: DataFrame, nodes: DataFrame, graph: DataFrame, nearest: int, pool: int = POOL, beam: int = BEAM, steps: int = STEPS) -> DataFrame:
@@ -152,7 +154,7 @@ def search(queries: DataFrame, nodes: DataFrame, graph: DataFrame, nearest: int,
 
     def scored(pairs: DataFrame) -> DataFrame:
         joined = pairs.join(nodes.select("node", F.col("vector").alias("_v")), "node").join(queries, "query")
-        return joined.select("query", "node", inner("_v", "vector").alias("score"))
+        return joined.select("query", "node", "_v", "vector").mapInPandas(inner, "query bigint, node bigint, score double")
 
     best = stored(scored(start).withColumn("seen", F.lit(False)))
     for _ in range(steps):

@@ -43,26 +43,18 @@ def _repeat_words(words: Column) -> Column:
     return F.when(F.size(words) < 4, F.lit(None)).otherwise(hashed)
 
 
-def _covered(grams: Column) -> Column:
-    placed = F.array_sort(F.transform(grams, lambda g, i: F.struct(g.alias("g"), i.alias("i"))))
-    return F.array_sort(
-        F.transform(
-            F.filter(
-                F.transform(
-                    placed,
-                    lambda p, k: F.struct(
-                        p["i"].alias("i"),
-                        (
-                            F.coalesce(p["g"] == F.get(placed, k - 1)["g"], F.lit(False))
-                            | F.coalesce(p["g"] == F.get(placed, k + 1)["g"], F.lit(False))
-                        ).alias("again"),
-                    ),
-                ),
-                lambda p: p["again"],
-            ),
-            lambda p: p["i"],
-        )
-    )
+def _placed(grams: Column) -> Column:
+    return F.array_sort(F.transform(grams, lambda g, i: F.struct(g.alias("g"), i.alias("i"))))
+
+
+def _hits(placed: str) -> Column:
+    """Sorted starts of the windows whose neighbours in hash order are equal to them."""
+
+    def again(p: Column, k: Column) -> Column:
+        near = [F.coalesce(p["g"] == F.get(placed, k + step)["g"], F.lit(False)) for step in (-1, 1)]
+        return near[0] | near[1]
+
+    return F.array_sort(F.transform(F.filter(placed, again), lambda p: p["i"]))
 
 
 def measured(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
@@ -79,8 +71,9 @@ def measured(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", l
     frame = base.select("*", F.explode(F.array(F.struct(split.alias("words"), lines.alias("lines")))).alias("p"))
     frame = frame.select("doc_id", "lang", "text", "p.words", "p.lines")
     frame = frame.select("*", F.explode(F.array(_repeat_words(F.col("words")))).alias("grams"))
-    repeated = F.when(F.size(F.array_distinct("grams")) < F.size("grams"), _covered(F.col("grams")))
-    frame = frame.select("*", F.explode(F.array(repeated)).alias("hits"))
+    repeated = F.when(F.size(F.array_distinct("grams")) < F.size("grams"), _placed(F.col("grams")))
+    frame = frame.select("*", F.explode(F.array(repeated)).alias("placed"))
+    frame = frame.select("*", F.explode(F.array(_hits("placed"))).alias("hits"))
     covered = F.aggregate(
         F.transform("hits", lambda i, k: F.least(F.lit(3), F.coalesce(F.get("hits", k + 1) - i, F.lit(3)))),
         F.lit(0),
