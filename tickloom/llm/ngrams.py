@@ -59,8 +59,8 @@ def near_duplicates(documents: DataFrame, doc_id: str = "doc_id", text: str = "t
     with equal ids are one node each with that id; a null id stays alone (component null).
 
     Equal word sequences collapse to their smallest id first. A first round verifies every
-    set against the smallest id under each of its signatures, which joins groups of near
-    copies without listing their pairs; a second one verifies all pairs under a signature
+    set against one smaller id under its signatures, which joins groups of near copies
+    without listing their pairs; a second one verifies all pairs under a signature
     that are not yet in one component, so that no link that matters is lost.
     """
     own = documents.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
@@ -92,10 +92,11 @@ def near_duplicates(documents: DataFrame, doc_id: str = "doc_id", text: str = "t
     firsts = stored(rows.filter("n > 0").groupBy("d1", "d2").agg(F.min("doc_id").alias("first"), F.max("n").alias("n")))
     reps = rows.join(firsts.select("d1", "d2", F.col("first").alias("doc_id")), ["d1", "d2", "doc_id"])
     index = reps.select(F.explode("sigs").alias("sig"), F.col("doc_id").alias("rid"), "n")
-    leaders = index.groupBy("sig").agg(F.min("rid").alias("lead"), F.max("rid").alias("last"), F.min_by("n", "rid").alias("lead_n")).filter("lead < last")
+    leaders = index.groupBy("sig").agg(F.min("rid").alias("lead"), F.max("rid").alias("last")).filter("lead < last")
     index = stored(index.join(leaders.drop("last"), "sig"))
-    fits = "100 * least(n, lead_n) >= {0} * greatest(n, lead_n)".format(percent)
-    pairs = stored(index.filter("lead < rid").filter(fits).select(F.col("lead").alias("a"), F.col("rid").alias("b")).distinct())
+    # Every set meets the smaller id that it shares most signatures with.
+    counted = index.filter("lead < rid").groupBy("rid", "lead").agg(F.count("*").alias("c"))
+    pairs = stored(counted.groupBy(F.col("rid").alias("b")).agg(F.max(F.struct("c", (-F.col("lead")).alias("m"), F.col("lead").alias("a")))["a"].alias("a")))
 
     def sets(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches(source):
@@ -105,7 +106,7 @@ def near_duplicates(documents: DataFrame, doc_id: str = "doc_id", text: str = "t
     def sets_of(chosen: DataFrame) -> DataFrame:
         ids = chosen.select(F.col("a").alias("rid")).union(chosen.select("b")).distinct()
         texts = own.withColumnRenamed("doc_id", "rid").join(ids, "rid", "left_semi")
-        return texts.mapInArrow(sets, "rid bigint, tokens array<bigint>").dropDuplicates(["rid"])
+        return texts.mapInArrow(sets, "rid bigint, tokens array<bigint>")
 
     links = stored(overlaps(pairs, stored(sets_of(pairs)), percent))
     known = components(links)

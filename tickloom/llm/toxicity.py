@@ -28,6 +28,8 @@ SWAP = {term: line[(i + 1) % len(line)] for line in IDENTITY for i, term in enum
 TOKEN = re.compile(r"[^\W\d_]+")
 MAX_LABELLED = 20_000
 VOCABULARY = 2_000
+SURPRISE = 20.0
+BEGINNINGS = (4, 5, 6)
 MIN_DOCUMENTS = 5
 
 
@@ -38,7 +40,9 @@ class ToxicityModel:
 
 
 def tokens(text: str | None) -> set[str]:
-    return set(TOKEN.findall(text.lower())) if text else set()
+    """Different words of the text, and the beginnings of longer ones, marked with *."""
+    words = set(TOKEN.findall(text.lower())) if text else set()
+    return words.union(*({w[:n] + "*" for w in words if len(w) > n} for n in BEGINNINGS))
 
 
 def swapped(found: set[str]) -> set[str]:
@@ -71,7 +75,7 @@ def fit(
     max_labelled: int = MAX_LABELLED,
     vocabulary: int = VOCABULARY,
     penalty: float = 10.0,
-    ridge: float = 1.0,
+    ridge: float = 0.05,
 ) -> ToxicityModel:
     """Learn from ``doc_id, text, toxic`` rows with a label.
 
@@ -101,7 +105,7 @@ def fit(
     expected = F.col("n") * bad / (bad + good)
     surprise = (F.col("bad") - expected) ** 2 / expected
     best = (
-        words.filter((F.col("n") >= MIN_DOCUMENTS) | F.col("word").isin(list(SWAP)))
+        words.filter(((F.col("n") >= MIN_DOCUMENTS) & (surprise >= SURPRISE)) | F.col("word").isin(list(SWAP)))
         .orderBy(F.col("word").isin(list(SWAP)).desc(), surprise.desc(), "word")
         .limit(vocabulary)
         .collect()
