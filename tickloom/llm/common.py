@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 from collections.abc import Iterator
 
@@ -22,6 +23,9 @@ def stored(df: DataFrame) -> DataFrame:
     costs no recomputation beyond this point, and columns can be pruned."""
     path = f"{ensure_checkpoint_dir(df.sparkSession)}/table-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    # Shuffle files of finished jobs go when the JVM collects what refers to them.
+    gc.collect()
+    df.sparkSession.sparkContext._jvm.System.gc()
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -45,9 +45,14 @@ def _table(columns: dict, kinds: dict) -> pa.RecordBatch:
     return pa.RecordBatch.from_pydict({k: pa.array(v, kinds[k]) for k, v in columns.items()})
 
 
+def key_of(sha: str) -> int:
+    """64 bits of a text's digest: tells apart rows that repeat an id."""
+    return int(sha[:16], 16) - (1 << 63)
+
+
 def digests(documents: DataFrame, size: int, seed: int) -> DataFrame:
     """Per document: ``doc_id, n_words, sha, anchors`` (its distinct minimizers)."""
-    kinds = {"doc_id": pa.int64(), "n_words": pa.int64(), "sha": pa.string(), "anchors": pa.list_(pa.int64())}
+    kinds = {"doc_id": pa.int64(), "n_words": pa.int64(), "sha": pa.string(), "key": pa.int64(), "anchors": pa.list_(pa.int64())}
 
     def read(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches(source):
@@ -58,26 +63,27 @@ def digests(documents: DataFrame, size: int, seed: int) -> DataFrame:
                 columns["doc_id"].append(name)
                 columns["n_words"].append(len(words))
                 columns["sha"].append(hashlib.sha256(b" ".join(words)).hexdigest())
+                columns["key"].append(key_of(columns["sha"][-1]))
                 columns["anchors"].append(np.array(found, np.uint64).view(np.int64))
             yield _table(columns, kinds)
 
-    return documents.mapInArrow(read, "doc_id bigint, n_words bigint, sha string, anchors array<bigint>")
+    return documents.mapInArrow(read, "doc_id bigint, n_words bigint, sha string, key bigint, anchors array<bigint>")
 
 
 def edges(texts: DataFrame, size: int, seed: int) -> DataFrame:
-    """Windows with a shared minimizer: ``doc_id, sha, pos, edge, before, after``.
+    """Windows with a shared minimizer: ``doc_id, key, pos, edge, before, after``.
 
     ``before`` and ``after`` are hashes of the adjoining words, 0 where there is no
     adjoining edge: where they differ between occurrences, the graph branches.
     """
-    kinds = {"doc_id": pa.int64(), "sha": pa.string(), "pos": pa.int64(), "edge": pa.int64(), "before": pa.int64(), "after": pa.int64()}
+    kinds = {"doc_id": pa.int64(), "key": pa.int64(), "pos": pa.int64(), "edge": pa.int64(), "before": pa.int64(), "after": pa.int64()}
 
     def read(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches(source, 256):
             parts: dict[str, list] = {k: [] for k in kinds}
-            for name, sha, text, shared in zip(*(batch[c].to_pylist() for c in ("doc_id", "sha", "text", "anchors"))):
+            for name, key, text, shared in zip(*(batch[c].to_pylist() for c in ("doc_id", "key", "text", "anchors"))):
                 words = words_of(text)
-                if hashlib.sha256(b" ".join(words)).hexdigest() != sha:
+                if key_of(hashlib.sha256(b" ".join(words)).hexdigest()) != key:
                     continue  # another row with the same id
                 hashes = word_hashes(words)
                 known = np.isin(minimizers(hashes, size, seed).view(np.int64), np.array(shared, np.int64))
@@ -86,41 +92,41 @@ def edges(texts: DataFrame, size: int, seed: int) -> DataFrame:
                 ahead = np.append(known[1:], False)[at]
                 behind = np.append(False, known[:-1])[at]
                 parts["doc_id"].append(np.full(len(at), name))
-                parts["sha"] += [sha] * len(at)
+                parts["key"].append(np.full(len(at), key))
                 parts["pos"].append(at)
                 parts["edge"].append(windows_hash(hashes, size)[at].view(np.int64))
                 parts["before"].append(np.where(behind, low[at - 1], 0))
                 parts["after"].append(np.where(ahead, low[np.minimum(at + size, len(low) - 1)], 0))
             if parts["pos"]:
-                yield _table({k: v if k == "sha" else np.concatenate(v) for k, v in parts.items()}, kinds)
+                yield _table({k: np.concatenate(v) for k, v in parts.items()}, kinds)
 
-    return texts.mapInArrow(read, "doc_id bigint, sha string, pos bigint, edge bigint, before bigint, after bigint")
+    return texts.mapInArrow(read, "doc_id bigint, key bigint, pos bigint, edge bigint, before bigint, after bigint")
 
 
 def paths(found: DataFrame, size: int) -> DataFrame:
-    """Compact unbranched runs: ``doc_id, sha, path, start, length`` (length in words)."""
+    """Compact unbranched runs: ``doc_id, key, path, start, length`` (length in words)."""
     ends = found.groupBy("edge").agg(
         F.min("doc_id").alias("low"), F.max("doc_id").alias("high"),
         (F.min("before") != F.max("before")).alias("joins"), (F.min("after") != F.max("after")).alias("forks"),
     )
     marked = found.join(ends.filter("low < high"), "edge")
-    order = W.partitionBy("doc_id", "sha").orderBy("pos")
+    order = W.partitionBy("doc_id", "key").orderBy("pos")
     new = (
         F.col("joins")
         | F.coalesce(F.lag("forks").over(order), F.lit(True))
-        | (F.coalesce(F.lag("pos").over(order), F.lit(-9)) != F.col("pos") - 1)
+        | (F.coalesce(F.lag("pos").over(order), F.lit(-9)) < F.col("pos") - 1)
     )
     numbered = marked.withColumn("new", new.cast("int")).withColumn("run", F.sum("new").over(order))
-    return numbered.groupBy("doc_id", "sha", "run").agg(
-        F.min_by("edge", "pos").alias("path"), F.min("pos").alias("start"), (F.count("*") + size - 1).alias("length")
+    return numbered.groupBy("doc_id", "key", "run").agg(
+        F.min_by("edge", "pos").alias("path"), F.min("pos").alias("start"), (F.max("pos") - F.min("pos") + size).alias("length")
     )
 
 
 def _with_texts(spans: DataFrame, documents: DataFrame) -> DataFrame:
-    listed = spans.groupBy("doc_id", "sha").agg(
+    listed = spans.groupBy("doc_id", "key").agg(
         F.collect_list("path").alias("path"), F.collect_list("start").alias("start"), F.collect_list("length").alias("length")
     )
-    return listed.join(documents, "doc_id")
+    return listed.join(documents, ["doc_id", "key"])
 
 
 def verified(spans: DataFrame, documents: DataFrame) -> DataFrame:
@@ -129,46 +135,46 @@ def verified(spans: DataFrame, documents: DataFrame) -> DataFrame:
     def read(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches(source, 256):
             rows = []
-            for name, sha, path, start, length, text in zip(*(batch[c].to_pylist() for c in ("doc_id", "sha", "path", "start", "length", "text"))):
+            for name, key, path, start, length, text in zip(*(batch[c].to_pylist() for c in ("doc_id", "key", "path", "start", "length", "text"))):
                 words = words_of(text)
-                if hashlib.sha256(b" ".join(words)).hexdigest() != sha:
+                if key_of(hashlib.sha256(b" ".join(words)).hexdigest()) != key:
                     continue
-                for key, a, n in zip(path, start, length):
+                for first, a, n in zip(path, start, length):
                     digest = xxhash.xxh3_128_digest(b" ".join(words[a : a + n]))
-                    rows.append((name, sha, key, a, n, *np.frombuffer(digest, np.int64).tolist()))
+                    rows.append((name, key, first, a, n, *np.frombuffer(digest, np.int64).tolist()))
             columns = list(zip(*rows)) or [()] * 7
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, pa.string() if i == 1 else pa.int64()) for i, c in enumerate(columns)],
-                ["doc_id", "sha", "path", "start", "length", "d1", "d2"],
+                [pa.array(c, pa.int64()) for c in columns],
+                ["doc_id", "key", "path", "start", "length", "d1", "d2"],
             )
 
     return _with_texts(spans, documents).mapInArrow(
-        read, "doc_id bigint, sha string, path bigint, start bigint, length bigint, d1 bigint, d2 bigint"
+        read, "doc_id bigint, key bigint, path bigint, start bigint, length bigint, d1 bigint, d2 bigint"
     )
 
 
 def without(spans: DataFrame, documents: DataFrame) -> DataFrame:
-    """``doc_id, sha, removed, kept_sha256`` of documents from which spans are cut."""
+    """``doc_id, key, removed, kept_sha256`` of documents from which spans are cut."""
 
     def read(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches(source, 256):
             rows = []
-            for name, sha, start, length, text in zip(*(batch[c].to_pylist() for c in ("doc_id", "sha", "start", "length", "text"))):
+            for name, key, start, length, text in zip(*(batch[c].to_pylist() for c in ("doc_id", "key", "start", "length", "text"))):
                 words = words_of(text)
-                if hashlib.sha256(b" ".join(words)).hexdigest() != sha:
+                if key_of(hashlib.sha256(b" ".join(words)).hexdigest()) != key:
                     continue
                 gone = np.zeros(len(words), bool)
                 for a, n in zip(start, length):
                     gone[a : a + n] = True
                 kept = b" ".join(word for word, cut in zip(words, gone.tolist()) if not cut)
-                rows.append((name, sha, int(gone.sum()), hashlib.sha256(kept).hexdigest()))
+                rows.append((name, key, int(gone.sum()), hashlib.sha256(kept).hexdigest()))
             columns = list(zip(*dict.fromkeys(rows))) or [()] * 4
-            kinds = [pa.int64(), pa.string(), pa.int64(), pa.string()]
+            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string()]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(columns, kinds)], ["doc_id", "sha", "removed", "kept_sha256"]
+                [pa.array(c, k) for c, k in zip(columns, kinds)], ["doc_id", "key", "removed", "kept_sha256"]
             )
 
-    return _with_texts(spans, documents).mapInArrow(read, "doc_id bigint, sha string, removed bigint, kept_sha256 string")
+    return _with_texts(spans, documents).mapInArrow(read, "doc_id bigint, key bigint, removed bigint, kept_sha256 string")
 
 
 def remove_repeats(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = SIZE, seed: int = SEED) -> DataFrame:
@@ -184,18 +190,19 @@ def remove_repeats(documents: DataFrame, doc_id: str = "doc_id", text: str = "te
     placed = stored(rows.drop("anchors").join(firsts, "sha"))
     # Copies of a whole text need no windows: all of it starts in the first one.
     own_anchors = rows.join(firsts.select("sha", F.col("first").alias("doc_id")), ["sha", "doc_id"])
-    own_anchors = own_anchors.select("doc_id", "sha", F.explode("anchors").alias("anchor")).distinct()
-    shared = own_anchors.groupBy("anchor").agg(F.min("sha").alias("a"), F.max("sha").alias("b")).filter("a < b")
-    chosen = own_anchors.join(shared.select("anchor"), "anchor").groupBy("doc_id", "sha").agg(F.collect_list("anchor").alias("anchors"))
-    texts = chosen.join(own, "doc_id")
-    found = stored(edges(texts, size, seed).dropDuplicates(["doc_id", "sha", "pos"]))
-    spans = stored(verified(stored(paths(found, size)), own).dropDuplicates(["doc_id", "sha", "start"]))
+    own_anchors = own_anchors.select("doc_id", "key", F.explode("anchors").alias("anchor"))
+    shared = own_anchors.groupBy("anchor").agg(F.min("key").alias("a"), F.max("key").alias("b")).filter("a < b")
+    chosen = own_anchors.join(shared.select("anchor"), "anchor").groupBy("doc_id", "key").agg(F.collect_set("anchor").alias("anchors"))
+    texts = stored(chosen.join(own, "doc_id"))
+    found = stored(edges(texts, size, seed))
+    texts = texts.drop("anchors")
+    spans = stored(verified(stored(paths(found, size)), texts).dropDuplicates(["doc_id", "key", "start"]))
     first = spans.groupBy("path", "length", "d1", "d2").agg(F.min("doc_id").alias("first"))
     repeats = spans.join(first, ["path", "length", "d1", "d2"]).filter("first < doc_id")
-    cut = without(repeats, own).dropDuplicates(["doc_id", "sha"])
+    cut = stored(without(repeats, texts).dropDuplicates(["doc_id", "key"]))
     empty = hashlib.sha256(b"").hexdigest()
     copy = (F.col("first") < F.col("doc_id")) & (F.col("n_words") >= size)
-    return placed.join(cut, ["doc_id", "sha"], "left").select(
+    return placed.join(cut, ["doc_id", "key"], "left").select(
         F.nullif(F.col("doc_id"), F.lit((1 << 63) - 1)).alias("doc_id"),
         "n_words",
         F.when(copy, F.col("n_words")).otherwise(F.coalesce("removed", F.lit(0))).cast("bigint").alias("n_removed"),
