@@ -227,3 +227,16 @@ def test_hot_ticker_does_not_change_results(spark, make_ticks, as_of):
     daily = daily_of(ticks, as_of)
     assert daily.agg(F.sum("total_volume")).first()[0] == sum(r[-1] for r in base)
     assert models.dim_ticker(ticks, as_of).agg(F.max("ticker_sk")).first()[0] == len({r[0] for r in base})
+
+
+def test_stored_ticks_are_staged_and_pruned(spark, make_ticks, as_of, tmp_path):
+    ticks = make_ticks(
+        [("A", "S", "2024-01-29 03:00:00", 1.0, 2.0, 10), ("A", "S", "2023-01-01 03:00:00", 1.0, 2.0, 10)]
+    )
+    path = str(tmp_path / "ticks")
+    ticks.withColumn("date_id", F.to_date("timestamp")).write.partitionBy("date_id").parquet(path)
+    staged = models.staged_ticks(spark.read.parquet(path), as_of)
+    assert staged.columns.count("date_id") == 1
+    assert models.daily_stock_stats(staged).count() == 1
+    plan = staged._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(date_id" in plan

@@ -31,9 +31,16 @@ GRAIN = ["ticker", "sector", "date_id"]
 
 
 def staged_ticks(ticks: DataFrame, as_of: AsOf = AsOf(), days: int = STAGING_DAYS) -> DataFrame:
-    """Recent ticks with their UTC day and hour; rows without a time drop out."""
-    return ticks.filter(F.col("timestamp") >= as_of.days_before_now(days)).select(
-        *ticks.columns,
+    """Recent ticks with their UTC day and hour; rows without a time drop out.
+
+    The day column of a stored table is filtered as well, so that old partitions are not read.
+    """
+    since = as_of.days_before_now(days)
+    recent = ticks.filter(F.col("timestamp") >= since)
+    if "date_id" in ticks.columns:
+        recent = recent.filter(F.col("date_id") >= F.to_date(since))
+    return recent.select(
+        *[name for name in ticks.columns if name not in ("date_id", "hour_bucket")],
         F.to_date("timestamp").alias("date_id"),
         F.date_trunc("hour", "timestamp").alias("hour_bucket"),
     )

@@ -98,7 +98,7 @@ def _refresh_one(spark: SparkSession, model: Model, built: Built, root: str, rep
         built.tables[model.name] = spark.read.schema(frame.schema).parquet(path)
         return (model.name, "ok", rows, path)
     except Exception as error:
-        return (model.name, "failed", None, f"{type(error).__name__}: {error}"[:500])
+        return (model.name, "failed", None, f"{type(error).__name__}: {error}")
 
 
 def append_quality_log(ticks: DataFrame, root: str, as_of: AsOf = AsOf(), batch_id: str = "manual") -> DataFrame:

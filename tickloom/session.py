@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings the models rely on: UTC days, ANSI errors (the code uses the
@@ -55,10 +53,10 @@ def use_session_defaults(spark: SparkSession) -> SparkSession:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Folder for checkpoint(): the cluster's setting, or a local one in tests.
+    """Folder for checkpoint() and stored tables, as ``spark.checkpoint.dir`` names it.
 
-    A cluster must name a shared folder in ``spark.checkpoint.dir``; only a local
-    master may fall back to a folder on this machine.
+    Where the setting is absent, a folder under the warehouse serves, which all executors
+    of a cluster share as well.
     """
     context = spark.sparkContext
     current = context.getCheckpointDir()
@@ -66,9 +64,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a shared folder")
-        configured = tempfile.mkdtemp(prefix="tickloom-checkpoint-")
+        configured = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_checkpoints"
     context.setCheckpointDir(configured)
     return context.getCheckpointDir()
 

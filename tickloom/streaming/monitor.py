@@ -48,14 +48,9 @@ def recent_progress(query: StreamingQuery) -> list[dict]:
 
 
 class ProgressLog(StreamingQueryListener):
-    """Keeps the newest progress records; ``flush`` appends them to a table.
+    """Keeps every progress record until ``flush`` has appended it to a table."""
 
-    A record is a few numbers per micro-batch. The buffer is bounded: when nobody
-    flushes, the oldest records are dropped.
-    """
-
-    def __init__(self, keep: int = 1000):
-        self.keep = keep
+    def __init__(self):
         self.records: list[dict] = []
 
     def onQueryStarted(self, event):
@@ -63,7 +58,6 @@ class ProgressLog(StreamingQueryListener):
 
     def onQueryProgress(self, event):
         self.records.append(json.loads(event.progress.json))
-        del self.records[: -self.keep]
 
     def onQueryIdle(self, event):
         pass
@@ -72,7 +66,8 @@ class ProgressLog(StreamingQueryListener):
         pass
 
     def flush(self, spark: SparkSession, path: str) -> int:
-        batch, self.records = self.records, []
+        batch = list(self.records)
         if batch:
             progress_frame(spark, batch).write.mode("append").parquet(path)
+            del self.records[: len(batch)]
         return len(batch)
