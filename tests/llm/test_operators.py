@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tickloom.llm import langid, licenses, lines, mixing, neighbours, ngrams, packing, quality, substring, toxicity
+from tickloom.llm.setjoin import CELLS, TokenCounts
 
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 
@@ -103,17 +104,20 @@ def test_ngram_join_matches_brute_force(docs):
 def test_similar_sets_share_a_signature(share):
     rng = np.random.default_rng(3)
     for _ in range(300):
-        base = rng.choice(1 << 40, rng.integers(1, 60), replace=False).astype(np.uint64)
-        other = np.unique(np.where(rng.random(len(base)) < 0.1, rng.integers(1 << 41, 1 << 42, len(base)).astype(np.uint64), base))
+        base = rng.integers(1, 1 << 62, rng.integers(1, 60)).astype(np.uint64)
+        other = np.unique(np.where(rng.random(len(base)) < 0.1, rng.integers(1 << 62, 1 << 63, len(base)).astype(np.uint64), base))
         base = np.unique(base)
         common = len(np.intersect1d(base, other))
         if 100 * common < 75 * (len(base) + len(other) - common):
             continue
         everything = np.union1d(base, other)
-        listed = np.sort(everything[rng.random(len(everything)) < share])
-        order = rng.permutation(len(listed))
-        one, two = (set(ngrams.signatures(x, listed, order, 75).tolist()) for x in (base, other))
-        assert one & two
+        cells = np.full(CELLS, 1, np.uint32)
+        counts = TokenCounts(cells)
+        chosen = everything[rng.random(len(everything)) < share]
+        cells[(chosen >> np.uint64(42)).astype(np.int64)] = rng.integers(100, 200, len(chosen))
+        need = -(-75 * (len(base) + len(other)) // 175)
+        one, two = (dict(zip(*(v.tolist() for v in signatures))) for signatures in (ngrams.signatures(x, counts, 100, 75) for x in (base, other)))
+        assert any(1 + min(len(base) - 1 - one[t], len(other) - 1 - two[t]) >= need for t in one.keys() & two.keys())
 
 
 def test_line_dedup_matches_brute_force(docs):

@@ -6,23 +6,41 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from tickloom.llm.common import batches, mixed, stored, word_hashes
-from tickloom.llm.setjoin import frequent_values, overlaps, ranks_of
+from tickloom.llm.setjoin import overlaps, token_counts
 
 PERCENT = 80
 LINE_BITS = 22
 NO_ID = 1 << 40
 
 
-def line_sets(text: str | None) -> Iterator[tuple[int, np.ndarray]]:
-    """(line number, distinct word hashes) of the lines with a word; A-Z count as a-z."""
-    for number, line in enumerate((text or "").encode().lower().split(b"\n")):
-        words = line.split()
-        if words:
-            yield number, np.unique(word_hashes(words))
+def line_words(texts: list[str | None], wanted: list[list[int]] | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The lines with a word of all texts: text and line number of each, and the distinct
+    word hashes of all of them (A-Z count as a-z) with the line they belong to, sorted by
+    line and hash. ``wanted``: only these line numbers of each text."""
+    at, numbers, sizes, words = [], [], [], []
+    for k, text in enumerate(texts):
+        lines = (text or "").encode().lower().split(b"\n")
+        for number in range(len(lines)) if wanted is None else sorted(wanted[k]):
+            found = lines[number].split() if number < len(lines) else ()
+            if found:
+                at.append(k)
+                numbers.append(number)
+                sizes.append(len(found))
+                words += found
+    hashes = word_hashes(words)
+    of = np.repeat(np.arange(len(sizes)), np.array(sizes, np.int64))
+    order = np.lexsort((hashes, of))
+    hashes, of = hashes[order], of[order]
+    fresh = np.ones(len(hashes), bool)
+    fresh[1:] = (hashes[1:] != hashes[:-1]) | (of[1:] != of[:-1])
+    return np.array(at, np.int64), np.array(numbers, np.int64), hashes[fresh], of[fresh]
+
+
+def lists(values: np.ndarray, sizes: np.ndarray) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(sizes)), pa.int32()), pa.array(values.view(np.int64)))
 
 
 def matches(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -30,39 +48,40 @@ def matches(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
 
     def blocks(source: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
         for batch in batches(source):
-            found = [s for t in batch["text"].to_pylist() for _, s in line_sets(t)]
-            if found:
-                yield np.concatenate(found)
+            yield line_words(batch["text"].to_pylist())[2]
 
-    top = frequent_values(documents.select("text"), blocks)
-    sort = np.argsort(top)
-    shared = documents.sparkSession.sparkContext.broadcast((top[sort], sort))
+    shared = documents.sparkSession.sparkContext.broadcast(token_counts(documents.select("text"), blocks))
 
     def sign(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        listed, order = shared.value
+        counts = shared.value
         for batch in batches(source, 1024):
-            rids, sizes, digests, prefixes = [], [], [], []
-            for name, text in zip(batch["doc_id"].to_pylist(), batch["text"].to_pylist()):
-                for number, found in line_sets(text):
-                    rids.append((name << LINE_BITS) + number)
-                    sizes.append(len(found))
-                    digests.append(np.frombuffer(xxhash.xxh3_128_digest(found.tobytes()), np.int64))
-                    spare = len(found) * (100 - percent) // 100
-                    if not spare:  # such a small set matches equal sets only
-                        prefixes.append(found[:0].view(np.int64))
-                        continue
-                    rank = ranks_of(found, listed, order)
-                    key = np.where(rank < 0, np.int64(1) << 40, rank)
-                    prefixes.append(found[np.lexsort((mixed(found), -key))[: spare + 1]].view(np.int64))
-            both = np.array(digests, np.int64).reshape(-1, 2)
+            at, numbers, hashes, of = line_words(batch["text"].to_pylist())
+            names = np.array(batch["doc_id"].to_pylist(), np.int64)
+            sizes = np.bincount(of, minlength=len(at))
+            begin = np.cumsum(sizes) - sizes
+            scrambled = mixed(hashes)
+            # A set's digest: two sums over its scrambled tokens, whatever their order.
+            sums = [np.add.reduceat(mixed(scrambled ^ np.uint64(k)), begin) if len(begin) else scrambled for k in (1, 2)]
+            order = np.lexsort((scrambled, counts.of(hashes), of))
+            spare = sizes * (100 - percent) // 100
+            # Without a spare token only equal sets match.
+            length = np.where(spare > 0, spare + 1, 0)
+            within = np.arange(len(of)) - np.repeat(begin, sizes)
+            prefix = hashes[order][within < np.repeat(length, sizes)]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(rids, pa.int64()), pa.array(sizes, pa.int32()), pa.array(both[:, 0]), pa.array(both[:, 1]), pa.array(prefixes, pa.list_(pa.int64()))],
+                [
+                    pa.array((names[at] << LINE_BITS) + numbers, pa.int64()), pa.array(sizes, pa.int32()),
+                    pa.array(sums[0].view(np.int64)), pa.array(sums[1].view(np.int64)), lists(prefix, length),
+                ],
                 ["rid", "n", "d1", "d2", "prefix"],
-            )
+            )
 
     rows = stored(documents.mapInArrow(sign, "rid bigint, n int, d1 bigint, d2 bigint, prefix array<bigint>"))
-    firsts = stored(rows.groupBy("d1", "d2").agg(F.min("rid").alias("first")))
-    reps = rows.filter("size(prefix) > 0").join(firsts.select(F.col("first").alias("rid")), "rid", "left_semi")
+    firsts = rows.groupBy("d1", "d2").agg(F.min("rid").alias("first"))
+    prefix = F.when(F.col("rid") == F.col("first"), F.col("prefix")).alias("prefix")
+    placed = stored(rows.join(firsts, ["d1", "d2"]).select("rid", "first", "n", prefix))
+    # Rows that repeat an id have equal line numbers: one of them is indexed.
+    reps = placed.filter("size(prefix) > 0")
     index = reps.select("rid", "n", F.posexplode("prefix").alias("pos", "sig"))
     leaders = index.groupBy("sig").agg(F.min("rid").alias("lead"), F.max("rid").alias("last")).filter("lead < last").select("sig", "lead")
     index = stored(index.join(leaders, "sig"))
@@ -76,14 +95,10 @@ def matches(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
 
     def sets(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches(source, 1024):
-            rids, tokens = [], []
-            for name, text, wanted in zip(*(batch[c].to_pylist() for c in ("doc_id", "text", "numbers"))):
-                chosen = set(wanted)
-                for number, found in line_sets(text):
-                    if number in chosen:
-                        rids.append((name << LINE_BITS) + number)
-                        tokens.append(found.view(np.int64))
-            yield pa.RecordBatch.from_arrays([pa.array(rids, pa.int64()), pa.array(tokens, pa.list_(pa.int64()))], ["rid", "tokens"])
+            at, numbers, hashes, of = line_words(batch["text"].to_pylist(), batch["numbers"].to_pylist())
+            names = np.array(batch["doc_id"].to_pylist(), np.int64)
+            rids = pa.array((names[at] << LINE_BITS) + numbers, pa.int64())
+            yield pa.RecordBatch.from_arrays([rids, lists(hashes, np.bincount(of, minlength=len(at)))], ["rid", "tokens"])
 
     def matching(pairs: DataFrame) -> DataFrame:
         ids = pairs.select(F.col("a").alias("rid")).union(pairs.select("b")).distinct()
@@ -100,10 +115,9 @@ def matches(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
     rest = later.filter("lead < b").join(gone.withColumnRenamed("rid", "b"), "b", "left_anti")
     pairs = rest.join(earlier, "sig").filter("a < b").filter(fits).select("a", "b").distinct()
     pairs = stored(pairs.join(first_pairs, ["a", "b"], "left_anti"))
-    gone = gone.union(matching(pairs).select(F.col("b").alias("rid"))).distinct()
-    near = firsts.join(gone.withColumnRenamed("rid", "first"), "first", "left_semi").select("d1", "d2", F.lit(True).alias("near"))
-    settled = rows.join(firsts, ["d1", "d2"]).join(near, ["d1", "d2"], "left")
-    return settled.filter("rid > first OR near").select("rid")
+    gone = stored(gone.union(matching(pairs).select(F.col("b").alias("rid"))).distinct())
+    near = placed.join(gone.withColumnRenamed("rid", "first"), "first", "left_semi")
+    return placed.filter("rid > first").select("rid").union(near.filter("rid = first").select("rid"))
 
 
 def dedup(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:

@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from tickloom.llm.common import batches, mixed, stored, windows_hash, word_hashes, words_of
-from tickloom.llm.setjoin import components, frequent_values, overlaps, ranks_of
+from tickloom.llm.setjoin import TokenCounts, components, overlaps, token_counts
 
 WORDS = 5
 PERCENT = 75
@@ -28,27 +28,29 @@ def lowered(text: str | None) -> list[bytes]:
     return text.encode().lower().split() if text else []  # bytes.lower(): A-Z only
 
 
-def signatures(found: np.ndarray, listed: np.ndarray, order: np.ndarray, percent: int) -> np.ndarray:
-    """What a set is indexed under.
+def signatures(found: np.ndarray, counts: TokenCounts, frequent: int, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """What a set is indexed under, and the positions of these tokens.
 
-    Tokens are ordered rare ones first (by hash), then frequent ones, rarest first. Two sets
-    that reach the threshold share a token of their prefixes of (1 - t) * size + 1. Rare
-    tokens there are indexed singly. If the prefix reaches the frequent tokens, it is
-    extended to 2 * (1 - t) * size + 2 tokens, and pairs of frequent tokens that follow each
-    other are indexed: at most (1 - t) of the union is not shared, each such token separates
-    one pair of shared ones, and the extended prefix has more shared tokens than that.
+    Tokens are ordered rarest first. Two sets that reach the threshold share a token of their
+    prefixes of (1 - t) * size + 1. Rare tokens there are indexed singly. If the prefix
+    reaches the frequent tokens, it is extended to 2 * (1 - t) * size + 2 tokens, and pairs of
+    frequent tokens that follow each other are indexed: at most (1 - t) of the union is not
+    shared, each such token separates one pair of shared ones, and the extended prefix has
+    more shared tokens than that. Pairs have position 0.
     """
-    rank = ranks_of(found, listed, order)
-    placed = np.lexsort((mixed(found), -rank * (rank >= 0) - (rank < 0) * (1 << 40)))
-    ordered, rare = found[placed], int((rank < 0).sum())
+    ordered = counts.ordered(found)
+    rare = int((counts.of(found) < frequent).sum())
     spare = len(found) * (100 - percent) // 100
     singles = ordered[: min(spare + 1, rare)]
+    places = np.arange(len(singles))
     if rare > spare:
-        return singles
+        return singles, places
     frequents = ordered[rare : 2 * spare + 3]
-    if len(frequents) < 2:  # a set of one token: its own combination
-        return np.append(singles, mixed(frequents) if len(found) == 1 else frequents[:0])
-    return np.append(singles, windows_hash(frequents, 2))
+    if len(frequents) > 1:
+        pairs = windows_hash(frequents, 2)
+    else:  # a set of one token: its own combination
+        pairs = mixed(frequents) if len(found) == 1 else frequents[:0]
+    return np.append(singles, pairs), np.append(places, np.zeros(len(pairs), np.int64))
 
 
 def near_duplicates(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -71,31 +73,38 @@ def near_duplicates(documents: DataFrame, doc_id: str = "doc_id", text: str = "t
             if found:
                 yield np.concatenate(found)
 
-    top = frequent_values(own.select("text"), blocks)
-    sort = np.argsort(top)
-    shared = own.sparkSession.sparkContext.broadcast((top[sort], sort))
+    shared = own.sparkSession.sparkContext.broadcast(token_counts(own.select("text"), blocks))
 
     def sign(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        listed, order = shared.value
+        counts = shared.value
+        frequent = counts.frequent
         for batch in batches(source):
             rows = []
             for name, value in zip(batch["doc_id"].to_pylist(), batch["text"].to_pylist()):
                 words = lowered(value)
                 found = shingles(words, size)
                 digest = np.frombuffer(xxhash.xxh3_128_digest(b" ".join(words)), np.int64).tolist()
-                rows.append((name, len(found), *digest, signatures(found, listed, order, percent).view(np.int64)))
-            columns = list(zip(*rows)) or [()] * 5
-            kinds = [pa.int64()] * 4 + [pa.list_(pa.int64())]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["doc_id", "n", "d1", "d2", "sigs"])
+                sigs, places = signatures(found, counts, frequent, percent)
+                rows.append((name, len(found), *digest, sigs.view(np.int64), places))
+            columns = list(zip(*rows)) or [()] * 6
+            kinds = [pa.int64()] * 4 + [pa.list_(pa.int64()), pa.list_(pa.int32())]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["doc_id", "n", "d1", "d2", "sigs", "places"])
 
-    rows = stored(own.mapInArrow(sign, "doc_id bigint, n bigint, d1 bigint, d2 bigint, sigs array<bigint>"))
+    rows = stored(own.mapInArrow(sign, "doc_id bigint, n bigint, d1 bigint, d2 bigint, sigs array<bigint>, places array<int>"))
     firsts = stored(rows.filter("n > 0").groupBy("d1", "d2").agg(F.min("doc_id").alias("first"), F.max("n").alias("n")))
     reps = rows.join(firsts.select("d1", "d2", F.col("first").alias("doc_id")), ["d1", "d2", "doc_id"])
-    index = reps.select(F.explode("sigs").alias("sig"), F.col("doc_id").alias("rid"), "n")
+    zipped = F.explode(F.arrays_zip("sigs", "places")).alias("s")
+    index = reps.select(zipped, F.col("doc_id").alias("rid"), "n").select(F.col("s.sigs").alias("sig"), F.col("s.places").alias("pos"), "rid", "n")
     leaders = index.groupBy("sig").agg(F.min("rid").alias("lead"), F.max("rid").alias("last")).filter("lead < last")
     index = stored(index.join(leaders.drop("last"), "sig"))
+    # Length filter, and the overlap still possible after the first shared token.
+    fits = (
+        f"100 * least(n, n_a) >= {percent} * greatest(n, n_a) AND "
+        f"{100 + percent} * least(n - pos, n_a - pos_a) >= {percent} * (n + n_a)"
+    )
     # Every set meets the smaller id that it shares most signatures with.
-    counted = index.filter("lead < rid").groupBy("rid", "lead").agg(F.count("*").alias("c"))
+    led = index.filter("lead = rid").select("sig", F.col("n").alias("n_a"), F.col("pos").alias("pos_a"))
+    counted = index.filter("lead < rid").join(led, "sig").filter(fits).groupBy("rid", "lead").agg(F.count("*").alias("c"))
     pairs = stored(counted.groupBy(F.col("rid").alias("b")).agg(F.max(F.struct("c", (-F.col("lead")).alias("m"), F.col("lead").alias("a")))["a"].alias("a")))
 
     def sets(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -111,12 +120,11 @@ def near_duplicates(documents: DataFrame, doc_id: str = "doc_id", text: str = "t
     links = stored(overlaps(pairs, stored(sets_of(pairs)), percent))
     known = components(links)
     index = index.join(known.withColumnRenamed("node", "rid"), "rid", "left").withColumn("component", F.coalesce("component", "rid"))
-    index = stored(index.select("sig", "rid", "n", "component"))
+    index = stored(index.select("sig", "pos", "rid", "n", "component"))
     open_ = index.groupBy("sig").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x < y").select("sig")
     left = stored(index.join(open_, "sig"))
-    other = left.select("sig", F.col("rid").alias("b"), F.col("n").alias("n_b"), F.col("component").alias("of_b"))
-    more = left.withColumnRenamed("rid", "a").join(other, "sig").filter("a < b AND component <> of_b")
-    more = more.filter(f"100 * least(n, n_b) >= {percent} * greatest(n, n_b)").select("a", "b").distinct()
+    other = left.select("sig", F.col("rid").alias("a"), F.col("n").alias("n_a"), F.col("pos").alias("pos_a"), F.col("component").alias("of_a"))
+    more = left.withColumnRenamed("rid", "b").join(other, "sig").filter("a < b AND component <> of_a").filter(fits).select("a", "b").distinct()
     more = stored(more.join(pairs, ["a", "b"], "left_anti"))
     links = links.union(overlaps(more, stored(sets_of(more)), percent))
     final = components(stored(links))

@@ -2,55 +2,86 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from tickloom.llm.common import frequent, stored
+from tickloom.llm.common import mixed, stored
 
-COUNTERS = 1 << 17
+CELLS = 1 << 22
+CHUNK = 1 << 16
+FREQUENT = 1 << 17
 
 
-def frequent_values(rows: DataFrame, blocks: Callable[[Iterator[pa.RecordBatch]], Iterator[np.ndarray]], counters: int = COUNTERS) -> np.ndarray:
-    """Values holding more than about 2 / counters of all values, most frequent first.
+@dataclass
+class TokenCounts:
+    """How often tokens occur, in a fixed number of cells that tokens are hashed to.
 
-    Every task summarises its whole stream in ``counters`` entries; Spark adds the entries
-    up. As the sums do not exceed the number of values, at most ``counters`` values pass:
-    the result is bounded (8 bytes each) at every size of the input.
+    A cell counts all tokens that fall into it, so the counts are upper bounds. They serve as
+    a global order and to tell frequent tokens apart; a link never depends on their precision.
     """
 
+    cells: np.ndarray
+
+    def of(self, tokens: np.ndarray) -> np.ndarray:
+        return self.cells[(tokens >> np.uint64(64 - CELLS.bit_length() + 1)).astype(np.int64)]
+
+    @property
+    def frequent(self) -> int:
+        """Tokens that occur at least so often are of the frequent class."""
+        return max(8, int(self.cells.sum(dtype=np.int64)) // FREQUENT)
+
+    def ordered(self, tokens: np.ndarray) -> np.ndarray:
+        """The tokens, rarest first; equally rare ones by their hash."""
+        return tokens[np.lexsort((mixed(tokens), self.of(tokens)))]
+
+
+def token_counts(rows: DataFrame, blocks: Callable[[Iterator[pa.RecordBatch]], Iterator[np.ndarray]]) -> TokenCounts:
+    """Counts of all tokens of ``rows``, 16 MB at every size of the input.
+
+    Every task adds its tokens up in one array, sent on in compressed chunks; chunks with
+    the same number are added up in groups, so that no task holds more than a few.
+    """
+    kind = "chunk int, part int, body binary"
+    shift = np.uint64(64 - CELLS.bit_length() + 1)
+
+    def packed(chunk: int, part: int, counts: np.ndarray) -> dict:
+        return {"chunk": chunk, "part": part, "body": zlib.compress(counts.tobytes(), 1)}
+
     def count(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = 0
-
-        def counted() -> Iterator[np.ndarray]:
-            nonlocal seen
-            for block in blocks(source):
-                seen += len(block)
-                yield block
-
-        values, counts = frequent(counted(), counters)
-        yield pa.RecordBatch.from_pydict(
-            {
-                "value": pa.array([None, *values.view(np.int64).tolist()], pa.int64()),
-                "n": pa.array([seen, *counts.tolist()], pa.int64()),
-            }
-        )
-
-    sums = stored(rows.mapInArrow(count, "value bigint, n bigint").groupBy("value").agg(F.sum("n").alias("n")))
-    total = (sums.filter("value IS NULL").first() or {"n": 0})["n"]
-    least = max(4, total // counters)
-    best = sums.filter(f"value IS NOT NULL AND n >= {least}").orderBy(F.desc("n"), "value").limit(counters).toPandas()
-    return best["value"].to_numpy(np.int64).view(np.uint64)
-
-
-def ranks_of(tokens: np.ndarray, listed: np.ndarray, order: np.ndarray) -> np.ndarray:
-    """Rank of a token by frequency: 0 the most frequent; -1 for all rare ones."""
-    if not len(listed):
-        return np.full(len(tokens), -1)
-    at = np.minimum(np.searchsorted(listed, tokens), len(listed) - 1)
-    return np.where(listed[at] == tokens, order[at], -1)
+        cells = np.zeros(CELLS, np.uint32)
+        for block in blocks(source):
+            found, times = np.unique(block >> shift, return_counts=True)
+            cells[found.astype(np.int64)] += times.astype(np.uint32)
+        task = TaskContext.get().partitionId()
+        for chunk in range(CELLS // CHUNK):
+            part = cells[chunk * CHUNK : (chunk + 1) * CHUNK]
+            if part.any():
+                yield pa.RecordBatch.from_pylist([packed(chunk, task % 64, part)], _CHUNKS)
+
+    def add(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(CHUNK, np.uint64)
+        number = 0
+        for batch in frames:
+            for chunk, body in zip(batch["chunk"].to_pylist(), batch["body"].to_pylist()):
+                number = chunk
+                total += np.frombuffer(zlib.decompress(body), np.uint32)
+        yield pa.RecordBatch.from_pylist([packed(number, 0, np.minimum(total, (1 << 32) - 1).astype(np.uint32))], _CHUNKS)
+
+    sums = rows.mapInArrow(count, kind).groupBy("chunk", "part").applyInArrow(add, kind)
+    sums = sums.groupBy("chunk").applyInArrow(add, kind)
+    cells = np.zeros(CELLS, np.uint32)
+    for row in stored(sums).toLocalIterator():  # at most CELLS / CHUNK rows
+        cells[row["chunk"] * CHUNK : (row["chunk"] + 1) * CHUNK] = np.frombuffer(zlib.decompress(row["body"]), np.uint32)
+    return TokenCounts(cells)
+
+
+_CHUNKS = pa.schema([("chunk", pa.int32()), ("part", pa.int32()), ("body", pa.binary())])
 
 
 def overlaps(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
