@@ -83,15 +83,16 @@ def matches(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
     # Rows that repeat an id have equal line numbers: one of them is indexed.
     reps = placed.filter("size(prefix) > 0")
     index = reps.select("rid", "n", F.posexplode("prefix").alias("pos", "sig"))
-    leaders = index.groupBy("sig").agg(F.min("rid").alias("lead"), F.max("rid").alias("last")).filter("lead < last").select("sig", "lead")
-    index = stored(index.join(leaders, "sig"))
-    earlier = index.select("sig", F.col("rid").alias("a"), F.col("n").alias("n_a"), F.col("pos").alias("pos_a"))
-    later = index.withColumnRenamed("rid", "b")
     # Length filter, and the overlap still possible from these positions on.
     fits = (
         f"100 * least(n, n_a) >= {percent} * greatest(n, n_a) AND "
         f"{100 + percent} * least(n - pos, n_a - pos_a) >= {percent} * (n + n_a)"
     )
+    leaders = index.groupBy("sig").agg(
+        F.min("rid").alias("lead"), F.max("rid").alias("last"), F.min_by("n", "rid").alias("n_a"), F.min_by("pos", "rid").alias("pos_a")
+    ).filter("lead < last")
+    index = index.join(leaders, "sig").select("sig", "rid", "n", "pos", "lead", F.expr(f"lead < rid AND {fits}").alias("fit"))
+    index = stored(index)
 
     def sets(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches(source, 1024):
@@ -108,12 +109,12 @@ def matches(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
         found = documents.join(numbers, "doc_id").mapInArrow(sets, "rid bigint, tokens array<bigint>")
         return overlaps(pairs, stored(found.dropDuplicates(["rid"])), percent)
 
-    first_pairs = later.filter("lead < b").join(earlier, (later.sig == earlier.sig) & (F.col("lead") == F.col("a"))).filter(fits)
-    first_pairs = stored(first_pairs.select("a", "b").distinct())
+    first_pairs = stored(index.filter("fit").select(F.col("lead").alias("a"), F.col("rid").alias("b")).distinct())
     gone = stored(matching(first_pairs).select(F.col("b").alias("rid")).distinct())
     # Lines not settled by the leaders meet every earlier line under their tokens.
-    rest = later.filter("lead < b").join(gone.withColumnRenamed("rid", "b"), "b", "left_anti")
-    pairs = rest.join(earlier, "sig").filter("a < b").filter(fits).select("a", "b").distinct()
+    rest = index.filter("lead < rid").join(gone, "rid", "left_anti").select("sig", F.col("rid").alias("b"), "n", "pos", "lead")
+    earlier = index.select("sig", F.col("rid").alias("a"), F.col("n").alias("n_a"), F.col("pos").alias("pos_a"))
+    pairs = rest.join(earlier, "sig").filter("a < b AND a <> lead").filter(fits).select("a", "b").distinct()
     pairs = stored(pairs.join(first_pairs, ["a", "b"], "left_anti"))
     gone = stored(gone.union(matching(pairs).select(F.col("b").alias("rid"))).distinct())
     near = placed.join(gone.withColumnRenamed("rid", "first"), "first", "left_semi")

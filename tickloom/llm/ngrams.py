@@ -95,16 +95,18 @@ def near_duplicates(documents: DataFrame, doc_id: str = "doc_id", text: str = "t
     reps = rows.join(firsts.select("d1", "d2", F.col("first").alias("doc_id")), ["d1", "d2", "doc_id"])
     zipped = F.explode(F.arrays_zip("sigs", "places")).alias("s")
     index = reps.select(zipped, F.col("doc_id").alias("rid"), "n").select(F.col("s.sigs").alias("sig"), F.col("s.places").alias("pos"), "rid", "n")
-    leaders = index.groupBy("sig").agg(F.min("rid").alias("lead"), F.max("rid").alias("last")).filter("lead < last")
-    index = stored(index.join(leaders.drop("last"), "sig"))
     # Length filter, and the overlap still possible after the first shared token.
     fits = (
         f"100 * least(n, n_a) >= {percent} * greatest(n, n_a) AND "
         f"{100 + percent} * least(n - pos, n_a - pos_a) >= {percent} * (n + n_a)"
     )
+    leaders = index.groupBy("sig").agg(
+        F.min("rid").alias("lead"), F.max("rid").alias("last"), F.min_by("n", "rid").alias("n_a"), F.min_by("pos", "rid").alias("pos_a")
+    ).filter("lead < last")
+    index = index.join(leaders, "sig").select("sig", "pos", "rid", "n", "lead", F.expr(f"lead < rid AND {fits}").alias("fit"))
+    index = stored(index)
     # Every set meets the smaller id that it shares most signatures with.
-    led = index.filter("lead = rid").select("sig", F.col("n").alias("n_a"), F.col("pos").alias("pos_a"))
-    counted = index.filter("lead < rid").join(led, "sig").filter(fits).groupBy("rid", "lead").agg(F.count("*").alias("c"))
+    counted = index.filter("fit").groupBy("rid", "lead").agg(F.count("*").alias("c"))
     pairs = stored(counted.groupBy(F.col("rid").alias("b")).agg(F.max(F.struct("c", (-F.col("lead")).alias("m"), F.col("lead").alias("a")))["a"].alias("a")))
 
     def sets(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
