@@ -31,6 +31,7 @@ VOCABULARY = 2_000
 SURPRISE = 20.0
 BEGINNINGS = (4, 5, 6)
 MIN_DOCUMENTS = 5
+BLOCK = 1000
 
 
 @dataclass
@@ -52,17 +53,21 @@ def swapped(found: set[str]) -> set[str]:
 def train(x: np.ndarray, y: np.ndarray, change: np.ndarray, penalty: float, ridge: float, steps: int = 50) -> tuple[np.ndarray, float]:
     """Logistic regression with a penalty on the squared score change of swapped rows (Newton)."""
     n, width = x.shape
-    design = np.hstack([x, np.ones((n, 1))])
     weights = np.zeros(width + 1)
     extra = np.zeros((width + 1, width + 1))
-    if len(change):
-        extra[:width, :width] = penalty * change.T @ change / len(change)
+    for at in range(0, len(change), BLOCK):
+        part = change[at : at + BLOCK].astype(float)
+        extra[:width, :width] += penalty * part.T @ part / len(change)
     extra[range(width), range(width)] += ridge / n
     extra[width, width] += 1e-9
     for _ in range(steps):
-        p = 1 / (1 + np.exp(-design @ weights))
-        gradient = design.T @ (p - y) / n + extra @ weights
-        hessian = (design * (p * (1 - p))[:, None]).T @ design / n + extra
+        gradient, hessian = extra @ weights, extra.copy()
+        for at in range(0, n, BLOCK):
+            design = np.ones((len(y[at : at + BLOCK]), width + 1))
+            design[:, :width] = x[at : at + BLOCK]
+            p = 1 / (1 + np.exp(-design @ weights))
+            gradient += design.T @ (p - y[at : at + BLOCK]) / n
+            hessian += design.T @ (design * (p * (1 - p))[:, None]) / n
         step = np.linalg.solve(hessian, gradient)
         weights -= step
         if np.abs(step).max() < 1e-6:
@@ -112,19 +117,20 @@ def fit(
     )
     index = {row["word"]: i for i, row in enumerate(best)}
     listed = F.array(*[F.lit(w) for w in index]) if index else F.array().cast("array<string>")
-    narrow = sample.select("toxic", F.array_intersect("words", listed).alias("words")).collect()
-    x = np.zeros((len(narrow), len(index)), np.float32)
+    narrow = sample.select("toxic", F.array_intersect("words", listed).alias("words"))
+    x = np.zeros((bad + good, len(index)), np.int8)
+    y = np.zeros(bad + good)
     change = []
-    for at, row in enumerate(narrow):
+    for at, row in enumerate(narrow.toLocalIterator()):
+        y[at] = row["toxic"]
         here = set(row["words"])
         x[at, [index[w] for w in here]] = 1
         other = swapped(here)
         if other != here:
-            line = np.zeros(len(index), np.float32)
+            line = np.zeros(len(index), np.int8)
             line[[index[w] for w in here]] += 1
             line[[index[w] for w in other if w in index]] -= 1
             change.append(line)
-    y = np.array([row["toxic"] for row in narrow], float)
     weights, bias = train(x, y, np.array(change), penalty, ridge)
     return ToxicityModel({w: float(weights[i]) for w, i in index.items()}, bias)
 
