@@ -120,9 +120,9 @@ def test_similar_sets_share_a_signature(share):
         assert any(1 + min(len(base) - 1 - one[t], len(other) - 1 - two[t]) >= need for t in one.keys() & two.keys())
 
 
-def test_line_dedup_matches_brute_force(docs):
+def deduplicated(rows):
     seen, expected = [], {}
-    for i, text, *_ in ROWS:
+    for i, text, *_ in rows:
         out = []
         for line in (text or "").split("\n"):
             found = set(line.encode().lower().split())
@@ -133,7 +133,28 @@ def test_line_dedup_matches_brute_force(docs):
             if found:
                 seen.append(found)
         expected[i] = None if text is None else "\n".join(out)
-    assert {r["doc_id"]: r["text"] for r in lines.dedup(docs).collect()} == expected
+    return expected
+
+
+def test_line_dedup_matches_brute_force(docs):
+    assert {r["doc_id"]: r["text"] for r in lines.dedup(docs).collect()} == deduplicated(ROWS)
+
+
+def test_line_dedup_of_edited_lines(spark):
+    rng = np.random.default_rng(5)
+    bases = [rng.integers(0, 400, n).tolist() for n in range(1, 41)]
+    rows = []
+    for i in range(90):
+        text = []
+        for k in rng.integers(0, len(bases), 6):
+            line = list(bases[k])
+            for _ in range(rng.integers(0, 1 + max(1, len(line) // 6))):
+                at = rng.integers(0, len(line) + 1)
+                line[at : at + rng.integers(0, 2)] = rng.integers(0, 400, rng.integers(0, 2)).tolist()
+            text.append(" ".join(f"W{w}" if w % 3 else f"w{w}" for w in line))
+        rows.append((i, "\n".join(text)))
+    found = lines.dedup(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    assert {r["doc_id"]: r["text"] for r in found.collect()} == deduplicated(rows)
 
 
 def test_mix_targets_and_limits(docs):

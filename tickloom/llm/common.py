@@ -8,6 +8,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -29,6 +30,14 @@ def stored(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(table: DataFrame) -> None:
+    """Delete the files of a table that ``stored`` wrote and that nothing reads any more."""
+    folders = {file.rsplit("/", 1)[0] for file in table.inputFiles()}
+    for folder in folders:
+        path = table.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(table.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+
+
 def remainder(column: str, divisor: int) -> Column:
     """crc32 of the id as text, modulo; a null id counts as the empty text."""
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit(""))) % divisor
@@ -43,6 +52,29 @@ def word_hashes(words: list[bytes]) -> np.ndarray:
     return np.fromiter(map(digest, words), np.uint64, len(words))
 
 
+def hashed_words(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Where the words of ``data`` start, and a 64-bit hash of each (A-Z count as a-z)."""
+    content = np.frombuffer(data, np.uint8)
+    inside = np.zeros(len(content) + 2, bool)
+    inside[1:-1] = ~SEPARATOR[content]
+    edges = np.flatnonzero(inside[1:] != inside[:-1])
+    starts, ends = edges[::2], edges[1::2]
+    forward, back = _powers(len(content) + 1)
+    sums = np.zeros(len(content) + 1, np.uint64)
+    np.cumsum(BYTES[content] * forward[: len(content)], out=sums[1:])
+    return starts, mixed((sums[ends] - sums[starts]) * back[starts])
+
+
+def _powers(count: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers 0, 1, ... of an odd base modulo 2**64, and their inverses."""
+    if len(_POWERS[0]) < count:
+        for k, base in enumerate((BASE, pow(BASE, -1, 1 << 64))):
+            values = np.full(2 * count, base, np.uint64)
+            values[0] = 1
+            _POWERS[k] = np.multiply.accumulate(values)
+    return _POWERS[0], _POWERS[1]
+
+
 def mixed(values: np.ndarray) -> np.ndarray:
     """A bijective scramble of 64-bit values (splitmix64 finaliser)."""
     with np.errstate(over="ignore"):
@@ -77,6 +109,26 @@ def windows_hash(hashes: np.ndarray, size: int) -> np.ndarray:
     return mixed(total)
 
 
+BASE = 0x9E3779B97F4A7C15
+_POWERS = [np.empty(0, np.uint64), np.empty(0, np.uint64)]
+BYTES = mixed(np.arange(1, 257))
+BYTES[ord("A") : ord("Z") + 1] = BYTES[ord("a") : ord("z") + 1]
+SEPARATOR = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
+
+
+def chunks(source: Iterator[pa.RecordBatch], column: str = "text", size: int = 1 << 19) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of about ``size`` bytes of text; a longer text stands alone."""
+    for batch in source:
+        lengths = pc.fill_null(pc.binary_length(batch[column]), 0).to_numpy(zero_copy_only=False)
+        ends = np.cumsum(lengths, dtype=np.int64)
+        start = 0
+        while start < batch.num_rows:
+            before = ends[start - 1] if start else 0
+            stop = max(start + 1, int(np.searchsorted(ends, before + size, "right")))
+            yield batch.slice(start, stop - start)
+            start = stop
+
+
 def batches(source: Iterator[pa.RecordBatch], rows: int = 2048) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of at most ``rows``."""
     for batch in source:

@@ -3,40 +3,46 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tickloom.llm.common import batches, mixed, stored, word_hashes
+from tickloom.llm.common import batches, chunks, discard, hashed_words, mixed, stored
 from tickloom.llm.setjoin import overlaps, token_counts
 
 PERCENT = 80
 LINE_BITS = 22
 NO_ID = 1 << 40
+# Ids of documents, 8 bytes each, that a task gets whole at most; more are shuffled.
+BROADCAST_IDS = 200_000
+SLICES = 4
 
 
 def line_words(texts: list[str | None], wanted: list[list[int]] | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """The lines with a word of all texts: text and line number of each, and the distinct
     word hashes of all of them (A-Z count as a-z) with the line they belong to, sorted by
     line and hash. ``wanted``: only these line numbers of each text."""
-    at, numbers, sizes, words = [], [], [], []
-    for k, text in enumerate(texts):
-        lines = (text or "").encode().lower().split(b"\n")
-        for number in range(len(lines)) if wanted is None else sorted(wanted[k]):
-            found = lines[number].split() if number < len(lines) else ()
-            if found:
-                at.append(k)
-                numbers.append(number)
-                sizes.append(len(found))
-                words += found
-    hashes = word_hashes(words)
-    of = np.repeat(np.arange(len(sizes)), np.array(sizes, np.int64))
-    order = np.lexsort((hashes, of))
-    hashes, of = hashes[order], of[order]
+    bodies = [(text or "").encode() for text in texts]
+    heights = np.array([body.count(b"\n") + 1 for body in bodies], np.int64)
+    top = np.cumsum(heights) - heights
+    data = b"\n".join(bodies)
+    starts, hashes = hashed_words(data)
+    line = np.cumsum(np.frombuffer(data, np.uint8) == ord("\n"), dtype=np.int64)[starts]
+    if wanted is not None:
+        chosen = np.zeros(heights.sum(), bool)
+        for numbers, height, first in zip(wanted, heights, top):
+            chosen[[first + number for number in numbers if number < height]] = True
+        hashes, line = hashes[chosen[line]], line[chosen[line]]
+    lines, of = np.unique(line, return_inverse=True)
+    at = np.repeat(np.arange(len(texts)), heights)[lines]
+    bits = np.uint64(max(1, len(lines).bit_length()))
+    # Words are in the order of their lines already, so ``of`` stays as it is.
+    hashes = hashes[np.argsort((of.astype(np.uint64) << (np.uint64(64) - bits)) | (hashes >> bits))]
     fresh = np.ones(len(hashes), bool)
     fresh[1:] = (hashes[1:] != hashes[:-1]) | (of[1:] != of[:-1])
-    return np.array(at, np.int64), np.array(numbers, np.int64), hashes[fresh], of[fresh]
+    return at, lines - top[at], hashes[fresh], of[fresh]
 
 
 def lists(values: np.ndarray, sizes: np.ndarray) -> pa.ListArray:
@@ -47,55 +53,79 @@ def matches(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
     """``rid`` of the lines (doc_id, number) that match an earlier one. See ``dedup``."""
 
     def blocks(source: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
-        for batch in batches(source):
-            yield line_words(batch["text"].to_pylist())[2]
+        for batch in chunks(source):
+            yield hashed_words("\n".join(text or "" for text in batch["text"].to_pylist()).encode())[1]
 
     shared = documents.sparkSession.sparkContext.broadcast(token_counts(documents.select("text"), blocks))
 
     def sign(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = shared.value
-        for batch in batches(source, 1024):
+        for batch in chunks(source):
             at, numbers, hashes, of = line_words(batch["text"].to_pylist())
             names = np.array(batch["doc_id"].to_pylist(), np.int64)
             sizes = np.bincount(of, minlength=len(at))
             begin = np.cumsum(sizes) - sizes
             scrambled = mixed(hashes)
-            # A set's digest: two sums over its scrambled tokens, whatever their order.
+            # A set's digest: two sums over its scrambled tokens, whatever their order. Its
+            # sketch: 64 bits, each the parity of the tokens that fall on it.
             sums = [np.add.reduceat(mixed(scrambled ^ np.uint64(k)), begin) if len(begin) else scrambled for k in (1, 2)]
-            order = np.lexsort((scrambled, counts.of(hashes), of))
-            spare = sizes * (100 - percent) // 100
-            # Without a spare token only equal sets match.
-            length = np.where(spare > 0, spare + 1, 0)
-            within = np.arange(len(of)) - np.repeat(begin, sizes)
-            prefix = hashes[order][within < np.repeat(length, sizes)]
+            bits = np.uint64(1) << (scrambled >> np.uint64(58))
+            sketch = np.bitwise_xor.reduceat(bits, begin) if len(begin) else bits
+            count = counts.of(hashes)
+            # Rarest first; the sort is stable, so equally rare ones stay in the order of their hash.
+            order = np.argsort((of.astype(np.uint64) << np.uint64(32)) | count, kind="stable")
+            # A set that is too small to match a larger one has no prefix: only equal sets match.
+            length = np.where(100 * sizes >= percent * (sizes + 1), sizes * (100 - percent) // 100 + 1, 0)
+            place = np.arange(len(of)) - np.repeat(begin, sizes)
+            # A token seen once in all texts is in no other line.
+            used = (place < np.repeat(length, sizes)) & (count[order] > 1)
+            kept = np.bincount(of[used], minlength=len(at))
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array((names[at] << LINE_BITS) + numbers, pa.int64()), pa.array(sizes, pa.int32()),
-                    pa.array(sums[0].view(np.int64)), pa.array(sums[1].view(np.int64)), lists(prefix, length),
+                    pa.array(sums[0].view(np.int64)), pa.array(sums[1].view(np.int64)), pa.array(sketch.view(np.int64)),
+                    lists(hashes[order][used], kept), lists(place[used], kept),
                 ],
-                ["rid", "n", "d1", "d2", "prefix"],
+                ["rid", "n", "d1", "d2", "sketch", "prefix", "places"],
             )
 
-    rows = stored(documents.mapInArrow(sign, "rid bigint, n int, d1 bigint, d2 bigint, prefix array<bigint>"))
-    firsts = rows.groupBy("d1", "d2").agg(F.min("rid").alias("first"))
-    prefix = F.when(F.col("rid") == F.col("first"), F.col("prefix")).alias("prefix")
-    placed = stored(rows.join(firsts, ["d1", "d2"]).select("rid", "first", "n", prefix))
-    # Rows that repeat an id have equal line numbers: one of them is indexed.
-    reps = placed.filter("size(prefix) > 0")
-    index = reps.select("rid", "n", F.posexplode("prefix").alias("pos", "sig"))
-    # Length filter, and the overlap still possible from these positions on.
+    kind = "rid bigint, n int, d1 bigint, d2 bigint, sketch bigint, prefix array<bigint>, places array<bigint>"
+    rows = stored(documents.mapInArrow(sign, kind))
+    # One row per set; rows that repeat an id have equal line numbers: one of them is indexed.
+    set_of = F.min_by(F.struct("n", "sketch", "prefix", "places"), "rid").alias("s")
+    reps = stored(rows.groupBy("d1", "d2").agg(F.min("rid").alias("rid"), F.count("*").alias("copies"), set_of))
+    repeated = reps.filter("copies > 1").select("d1", "d2", F.col("rid").alias("first"))
+    copies = stored(rows.select("rid", "d1", "d2").join(repeated, ["d1", "d2"]).filter("rid > first").select("rid"))
+    discard(rows)
+    zipped = F.explode(F.arrays_zip("s.prefix", "s.places")).alias("t")
+    index = reps.select("rid", "s.n", "s.sketch", zipped).select(
+        F.col("t.prefix").alias("sig"), "rid", F.expr("n * 4294967296 + t.places").alias("np"), "sketch"
+    )
+    # Length filter, the overlap still possible from these positions on, and no more
+    # different bits of the sketches than tokens that may differ.
     fits = (
         f"100 * least(n, n_a) >= {percent} * greatest(n, n_a) AND "
-        f"{100 + percent} * least(n - pos, n_a - pos_a) >= {percent} * (n + n_a)"
+        f"{100 + percent} * least(n - pos, n_a - pos_a) >= {percent} * (n + n_a) AND "
+        f"{100 + percent} * bit_count(sketch ^ sketch_a) <= {100 - percent} * (n + n_a)"
     )
-    leaders = index.groupBy("sig").agg(
-        F.min("rid").alias("lead"), F.max("rid").alias("last"), F.min_by("n", "rid").alias("n_a"), F.min_by("pos", "rid").alias("pos_a")
-    ).filter("lead < last")
-    index = index.join(leaders, "sig").select("sig", "rid", "n", "pos", "lead", F.expr(f"lead < rid AND {fits}").alias("fit"))
-    index = stored(index)
+    split = {f"{kind}{side}": F.expr(f"cast({value} as int)") for side in ("", "_a") for kind, value in (("n", f"shiftright(np{side}, 32)"), ("pos", f"np{side} & 4294967295"))}
+
+    def shared_tokens(part: DataFrame) -> DataFrame:
+        """The rows under a token of several lines; ``lead``: its first line, where it fits."""
+        leaders = part.groupBy("sig").agg(
+            F.min("rid").alias("lead"), F.count("*").alias("c"), F.min_by("np", "rid").alias("np_a"), F.min_by("sketch", "rid").alias("sketch_a")
+        ).filter("c > 1")
+        met = part.join(leaders, "sig").withColumns(split)
+        met = met.select("sig", "rid", "n", "pos", "sketch", "c", F.expr(f"CASE WHEN lead < rid AND {fits} THEN lead END").alias("lead"))
+        # A group of two has no more pairs than that with its first line.
+        return met.filter("c > 2 OR lead IS NOT NULL")
+
+    # Tokens are dealt with in slices, one after the other: shuffle files of one slice at a time.
+    slices = [stored(shared_tokens(index.filter(F.expr(f"pmod(sig, {SLICES}) = {k}")))) for k in range(SLICES)]
+    discard(reps)
 
     def sets(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches(source, 1024):
+        for batch in chunks(source):
             at, numbers, hashes, of = line_words(batch["text"].to_pylist(), batch["numbers"].to_pylist())
             names = np.array(batch["doc_id"].to_pylist(), np.int64)
             rids = pa.array((names[at] << LINE_BITS) + numbers, pa.int64())
@@ -103,22 +133,30 @@ def matches(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
 
     def matching(pairs: DataFrame) -> DataFrame:
         ids = pairs.select(F.col("a").alias("rid")).union(pairs.select("b")).distinct()
-        numbers = ids.groupBy(F.shiftright("rid", LINE_BITS).alias("doc_id")).agg(
+        numbers = stored(ids.groupBy(F.shiftright("rid", LINE_BITS).alias("doc_id")).agg(
             F.collect_list(F.col("rid").bitwiseAND((1 << LINE_BITS) - 1).cast("int")).alias("numbers")
-        )
-        found = documents.join(numbers, "doc_id").mapInArrow(sets, "rid bigint, tokens array<bigint>")
+        ))
+        texts = documents
+        if numbers.count() <= BROADCAST_IDS:
+            texts = texts.join(F.broadcast(numbers.select("doc_id")), "doc_id", "left_semi")
+        found = texts.join(numbers, "doc_id").mapInArrow(sets, "rid bigint, tokens array<bigint>")
         return overlaps(pairs, stored(found.dropDuplicates(["rid"])), percent)
 
-    first_pairs = stored(index.filter("fit").select(F.col("lead").alias("a"), F.col("rid").alias("b")).distinct())
+    led = [part.filter("lead IS NOT NULL").select(F.col("lead").alias("a"), F.col("rid").alias("b")) for part in slices]
+    first_pairs = stored(reduce(DataFrame.union, led).distinct())
     gone = stored(matching(first_pairs).select(F.col("b").alias("rid")).distinct())
+
+    def all_pairs(part: DataFrame) -> DataFrame:
+        part = part.filter("c > 2").select("sig", "rid", "n", "pos", "sketch")
+        rest = part.join(gone, "rid", "left_anti").withColumnRenamed("rid", "b")
+        earlier = part.select("sig", F.col("rid").alias("a"), *[F.col(x).alias(f"{x}_a") for x in ("n", "pos", "sketch")])
+        return rest.join(earlier, "sig").filter("a < b").filter(fits).select("a", "b").distinct()
+
     # Lines not settled by the leaders meet every earlier line under their tokens.
-    rest = index.filter("lead < rid").join(gone, "rid", "left_anti").select("sig", F.col("rid").alias("b"), "n", "pos", "lead")
-    earlier = index.select("sig", F.col("rid").alias("a"), F.col("n").alias("n_a"), F.col("pos").alias("pos_a"))
-    pairs = rest.join(earlier, "sig").filter("a < b AND a <> lead").filter(fits).select("a", "b").distinct()
+    pairs = reduce(DataFrame.union, [stored(all_pairs(part)) for part in slices]).distinct()
     pairs = stored(pairs.join(first_pairs, ["a", "b"], "left_anti"))
-    gone = stored(gone.union(matching(pairs).select(F.col("b").alias("rid"))).distinct())
-    near = placed.join(gone.withColumnRenamed("rid", "first"), "first", "left_semi")
-    return placed.filter("rid > first").select("rid").union(near.filter("rid = first").select("rid"))
+    more = matching(pairs).select(F.col("b").alias("rid")).distinct()
+    return copies.union(gone).union(more)
 
 
 def dedup(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
