@@ -17,7 +17,9 @@ LINE_BITS = 22
 NO_ID = 1 << 40
 # Ids of documents, 8 bytes each, that a task gets whole at most; more are shuffled.
 BROADCAST_IDS = 200_000
-SLICES = 4
+SLICES = 2
+# 64-bit words of the sketch that decides which pairs are verified.
+WIDE = 16
 
 
 def line_words(texts: list[str | None], wanted: list[list[int]] | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -129,7 +131,12 @@ def matches(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
             at, numbers, hashes, of = line_words(batch["text"].to_pylist(), batch["numbers"].to_pylist())
             names = np.array(batch["doc_id"].to_pylist(), np.int64)
             rids = pa.array((names[at] << LINE_BITS) + numbers, pa.int64())
-            yield pa.RecordBatch.from_arrays([rids, lists(hashes, np.bincount(of, minlength=len(at)))], ["rid", "tokens"])
+            scrambled = mixed(hashes)
+            wide = np.zeros((len(at), WIDE), np.uint64)
+            cell = (scrambled >> np.uint64(6)) % np.uint64(WIDE)
+            np.bitwise_xor.at(wide, (of, cell.astype(np.int64)), np.uint64(1) << (scrambled & np.uint64(63)))
+            kept = [lists(hashes, np.bincount(of, minlength=len(at))), lists(wide.ravel(), np.full(len(at), WIDE))]
+            yield pa.RecordBatch.from_arrays([rids, *kept], ["rid", "tokens", "wide"])
 
     def matching(pairs: DataFrame) -> DataFrame:
         ids = pairs.select(F.col("a").alias("rid")).union(pairs.select("b")).distinct()
@@ -139,8 +146,14 @@ def matches(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
         texts = documents
         if numbers.count() <= BROADCAST_IDS:
             texts = texts.join(F.broadcast(numbers.select("doc_id")), "doc_id", "left_semi")
-        found = texts.join(numbers, "doc_id").mapInArrow(sets, "rid bigint, tokens array<bigint>")
-        return overlaps(pairs, stored(found.dropDuplicates(["rid"])), percent)
+        found = texts.join(numbers, "doc_id").mapInArrow(sets, "rid bigint, tokens array<bigint>, wide array<bigint>")
+        found = stored(found.dropDuplicates(["rid"]))
+        # Wide sketches first: token sets are only moved for pairs that these let pass.
+        one = found.select(F.col("rid").alias("a"), F.size("tokens").alias("n_a"), F.col("wide").alias("wide_a"))
+        two = found.select(F.col("rid").alias("b"), F.size("tokens").alias("n"), "wide")
+        apart = "aggregate(zip_with(wide, wide_a, (x, y) -> bit_count(x ^ y)), 0, (s, x) -> s + x)"
+        likely = pairs.join(one, "a").join(two, "b").filter(f"{100 + percent} * {apart} <= {100 - percent} * (n + n_a)")
+        return overlaps(stored(likely.select("a", "b")), found.select("rid", "tokens"), percent)
 
     led = [part.filter("lead IS NOT NULL").select(F.col("lead").alias("a"), F.col("rid").alias("b")) for part in slices]
     first_pairs = stored(reduce(DataFrame.union, led).distinct())
