@@ -16,7 +16,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from tickloom.llm.common import batches, stored, windows_hash, word_hashes, words_of
 
@@ -50,6 +50,13 @@ def key_of(sha: str) -> int:
     return int(sha[:16], 16) - (1 << 63)
 
 
+def key_column(text: Column) -> Column:
+    """``key_of`` the digest of a text's words, as a column."""
+    words = F.array_join(F.filter(F.split(F.coalesce(text, F.lit("")), r"[\x20\x09-\x0D]+"), lambda w: w != ""), " ")
+    number = F.conv(F.substring(F.sha2(words, 256), 1, 16), 16, 10).cast("decimal(20)")
+    return (number - F.lit(str(1 << 63)).cast("decimal(20)")).cast("bigint")
+
+
 def digests(documents: DataFrame, size: int, seed: int) -> DataFrame:
     """Per document: ``doc_id, n_words, sha, anchors`` (its distinct minimizers)."""
     kinds = {"doc_id": pa.int64(), "n_words": pa.int64(), "sha": pa.string(), "key": pa.int64(), "anchors": pa.list_(pa.int64())}
@@ -185,6 +192,7 @@ def remove_repeats(documents: DataFrame, doc_id: str = "doc_id", text: str = "te
     that repeat an id are documents of their own, none smaller than the other.
     """
     own = documents.select(F.coalesce(F.col(doc_id).cast("bigint"), F.lit((1 << 63) - 1)).alias("doc_id"), F.col(text).alias("text"))
+    keyed = own.withColumn("key", key_column(F.col("text")))
     rows = stored(digests(own, size, seed))
     firsts = rows.groupBy("sha").agg(F.min("doc_id").alias("first"))
     placed = stored(rows.drop("anchors").join(firsts, "sha"))
@@ -193,7 +201,8 @@ def remove_repeats(documents: DataFrame, doc_id: str = "doc_id", text: str = "te
     own_anchors = own_anchors.select("doc_id", "key", F.explode("anchors").alias("anchor"))
     shared = own_anchors.groupBy("anchor").agg(F.min("key").alias("a"), F.max("key").alias("b")).filter("a < b")
     chosen = own_anchors.join(shared.select("anchor"), "anchor").groupBy("doc_id", "key").agg(F.collect_set("anchor").alias("anchors"))
-    texts = stored(chosen.join(own, "doc_id"))
+    # Rows that repeat an id and a text give their windows once, and all get the result.
+    texts = stored(chosen.join(keyed, ["doc_id", "key"]).dropDuplicates(["doc_id", "key"]))
     found = stored(edges(texts, size, seed))
     texts = texts.drop("anchors")
     spans = stored(verified(stored(paths(found, size)), texts).dropDuplicates(["doc_id", "key", "start"]))
