@@ -40,9 +40,16 @@ class ToxicityModel:
     bias: float
 
 
+def words_of(text: str | None) -> set[str]:
+    return set(TOKEN.findall(text.lower())) if text else set()
+
+
 def tokens(text: str | None) -> set[str]:
     """Different words of the text, and the beginnings of longer ones, marked with *."""
-    words = set(TOKEN.findall(text.lower())) if text else set()
+    return features(words_of(text))
+
+
+def features(words: set[str]) -> set[str]:
     return words.union(*({w[:n] + "*" for w in words if len(w) > n} for n in BEGINNINGS))
 
 
@@ -93,13 +100,17 @@ def fit(
 
     def read(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches(source):
-            found = [sorted(tokens(t)) for t in batch["text"].to_pylist()]
+            plain = [words_of(t) for t in batch["text"].to_pylist()]
+            found = [sorted(features(words)) for words in plain]
+            # Words are swapped first, so that beginnings follow; null without identity terms.
+            others = [sorted(features(swapped(words))) if words & SWAP.keys() else None for words in plain]
+            kind = pa.list_(pa.string())
             yield pa.RecordBatch.from_arrays(
-                [batch["toxic"].cast(pa.int32()), pa.array(found, pa.list_(pa.string()))], ["toxic", "words"]
+                [batch["toxic"].cast(pa.int32()), pa.array(found, kind), pa.array(others, kind)], ["toxic", "words", "others"]
             )
 
     # Only ids decide which rows are taken; texts are joined back instead of sorted.
-    sample = stored(chosen.select("toxic", "text").repartition(32).mapInArrow(read, "toxic int, words array<string>"))
+    sample = stored(chosen.select("toxic", "text").repartition(32).mapInArrow(read, "toxic int, words array<string>, others array<string>"))
     totals = {row["toxic"]: row["n"] for row in sample.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     bad, good = totals.get(1, 0), totals.get(0, 0)
     if not bad or not good:
@@ -117,7 +128,7 @@ def fit(
     )
     index = {row["word"]: i for i, row in enumerate(best)}
     listed = F.array(*[F.lit(w) for w in index]) if index else F.array().cast("array<string>")
-    narrow = sample.select("toxic", F.array_intersect("words", listed).alias("words"))
+    narrow = sample.select("toxic", F.array_intersect("words", listed).alias("words"), F.array_intersect("others", listed).alias("others"))
     x = np.zeros((bad + good, len(index)), np.int8)
     y = np.zeros(bad + good)
     change = []
@@ -125,11 +136,11 @@ def fit(
         y[at] = row["toxic"]
         here = set(row["words"])
         x[at, [index[w] for w in here]] = 1
-        other = swapped(here)
+        other = here if row["others"] is None else set(row["others"])
         if other != here:
             line = np.zeros(len(index), np.int8)
             line[[index[w] for w in here]] += 1
-            line[[index[w] for w in other if w in index]] -= 1
+            line[[index[w] for w in other]] -= 1
             change.append(line)
     weights, bias = train(x, y, np.array(change), penalty, ridge)
     return ToxicityModel({w: float(weights[i]) for w, i in index.items()}, bias)
