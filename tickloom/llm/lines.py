@@ -13,8 +13,11 @@ from tickloom.llm.common import batches, chunks, discard, hashed_words, mixed, s
 from tickloom.llm.setjoin import overlaps, token_counts
 
 PERCENT = 80
-LINE_BITS = 22
-NO_ID = 1 << 40
+# Rows without an id come after the largest one: their line numbers start where no text's end.
+NO_ID = (1 << 63) - 1
+NO_ID_LINES = 1 << 31
+# A line: order of its document, its number, and what tells apart texts under one id.
+RID = "rid struct<doc:bigint,line:bigint,key:bigint>"
 # Ids of documents, 8 bytes each, that a task gets whole at most; more are shuffled.
 BROADCAST_IDS = 200_000
 SLICES = 2
@@ -51,8 +54,34 @@ def lists(values: np.ndarray, sizes: np.ndarray) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(sizes)), pa.int32()), pa.array(values.view(np.int64)))
 
 
+def rids(doc: pa.Array, line: np.ndarray, key: pa.Array, at: np.ndarray) -> pa.StructArray:
+    rows = pa.array(at, pa.int64())
+    return pa.StructArray.from_arrays([doc.take(rows), pa.array(line, pa.int64()), key.take(rows)], ["doc", "line", "key"])
+
+
+def earlier(one: str, two: str) -> str:
+    """Lines with equal numbers of texts under one id: none is earlier than the other."""
+    return f"({one}.doc < {two}.doc OR {one}.doc = {two}.doc AND {one}.line < {two}.line)"
+
+
+def keyed(documents: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """Append ``_doc, _first, _key``: rows agree in all of them if they have the same id and text.
+
+    The key is a digest of the text where an id may stand for several texts, else 0.
+    """
+    none = F.col(doc_id).isNull()
+    digest = F.xxhash64(F.col(text), none)
+    ids = documents.filter(~none).select(F.col(doc_id).alias("i"), digest.alias("k"))
+    several = ids.groupBy("i").agg(F.min("k").alias("a"), F.max("k").alias("b")).filter("a < b").limit(1).count()
+    return documents.withColumns({
+        "_doc": F.coalesce(F.col(doc_id).cast("bigint"), F.lit(NO_ID)),
+        "_first": F.when(none, F.lit(NO_ID_LINES)).otherwise(F.lit(0)).cast("bigint"),
+        "_key": digest if several else F.when(none, digest).otherwise(F.lit(0)).cast("bigint"),
+    })
+
+
 def matches(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """``rid`` of the lines (doc_id, number) that match an earlier one. See ``dedup``."""
+    """``rid`` of the lines of ``doc, first, key, text`` that match an earlier one. See ``dedup``."""
 
     def blocks(source: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
         for batch in chunks(source):
@@ -64,7 +93,7 @@ def matches(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
         counts = shared.value
         for batch in chunks(source):
             at, numbers, hashes, of = line_words(batch["text"].to_pylist())
-            names = np.array(batch["doc_id"].to_pylist(), np.int64)
+            numbers = numbers + batch["first"].to_numpy(zero_copy_only=False)[at]
             sizes = np.bincount(of, minlength=len(at))
             begin = np.cumsum(sizes) - sizes
             scrambled = mixed(hashes)
@@ -84,20 +113,23 @@ def matches(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
             kept = np.bincount(of[used], minlength=len(at))
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array((names[at] << LINE_BITS) + numbers, pa.int64()), pa.array(sizes, pa.int32()),
+                    rids(batch["doc"], numbers, batch["key"], at), pa.array(sizes, pa.int32()),
                     pa.array(sums[0].view(np.int64)), pa.array(sums[1].view(np.int64)), pa.array(sketch.view(np.int64)),
                     lists(hashes[order][used], kept), lists(place[used], kept),
                 ],
                 ["rid", "n", "d1", "d2", "sketch", "prefix", "places"],
             )
 
-    kind = "rid bigint, n int, d1 bigint, d2 bigint, sketch bigint, prefix array<bigint>, places array<bigint>"
+    kind = f"{RID}, n int, d1 bigint, d2 bigint, sketch bigint, prefix array<bigint>, places array<bigint>"
     rows = stored(documents.mapInArrow(sign, kind))
-    # One row per set; rows that repeat an id have equal line numbers: one of them is indexed.
+    # One row per set: its first line is indexed.
     set_of = F.min_by(F.struct("n", "sketch", "prefix", "places"), "rid").alias("s")
     reps = stored(rows.groupBy("d1", "d2").agg(F.min("rid").alias("rid"), F.count("*").alias("copies"), set_of))
     repeated = reps.filter("copies > 1").select("d1", "d2", F.col("rid").alias("first"))
-    copies = stored(rows.select("rid", "d1", "d2").join(repeated, ["d1", "d2"]).filter("rid > first").select("rid"))
+    again = stored(rows.select("rid", "d1", "d2").join(repeated, ["d1", "d2"]).filter("rid <> first").select("rid", "first"))
+    copies = again.filter(earlier("first", "rid")).select("rid")
+    # As early as the first one, under the same id: these go if the first one does.
+    twins = again.filter(f"NOT {earlier('first', 'rid')}")
     discard(rows)
     zipped = F.explode(F.arrays_zip("s.prefix", "s.places")).alias("t")
     index = reps.select("rid", "s.n", "s.sketch", zipped).select(
@@ -113,14 +145,17 @@ def matches(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
     split = {f"{kind}{side}": F.expr(f"cast({value} as int)") for side in ("", "_a") for kind, value in (("n", f"shiftright(np{side}, 32)"), ("pos", f"np{side} & 4294967295"))}
 
     def shared_tokens(part: DataFrame) -> DataFrame:
-        """The rows under a token of several lines; ``lead``: its first line, where it fits."""
+        """The rows under a token of several lines; ``pair``: with a line of the first document, where it fits."""
+        of = {"lead_line": "rid.line", "lead_key": "rid.key", "np_a": "np", "sketch_a": "sketch"}
         leaders = part.groupBy("sig").agg(
-            F.min("rid").alias("lead"), F.count("*").alias("c"), F.min_by("np", "rid").alias("np_a"), F.min_by("sketch", "rid").alias("sketch_a")
+            F.min("rid.doc").alias("lead_doc"), F.count("*").alias("c"), *[F.min_by(v, "rid.doc").alias(k) for k, v in of.items()]
         ).filter("c > 1")
+        leaders = leaders.withColumn("lead", F.struct(F.col("lead_doc").alias("doc"), F.col("lead_line").alias("line"), F.col("lead_key").alias("key")))
         met = part.join(leaders, "sig").withColumns(split)
-        met = met.select("sig", "rid", "n", "pos", "sketch", "c", F.expr(f"CASE WHEN lead < rid AND {fits} THEN lead END").alias("lead"))
-        # A group of two has no more pairs than that with its first line.
-        return met.filter("c > 2 OR lead IS NOT NULL")
+        pair = f"CASE WHEN NOT ({fits}) THEN NULL WHEN {earlier('lead', 'rid')} THEN struct(lead AS a, rid AS b) WHEN {earlier('rid', 'lead')} THEN struct(rid AS a, lead AS b) END"
+        met = met.select("sig", "rid", "n", "pos", "sketch", "c", F.expr(pair).alias("pair"))
+        # A group of two has no more pairs than that with its leader.
+        return met.filter("c > 2 OR pair IS NOT NULL")
 
     # Tokens are dealt with in slices, one after the other: shuffle files of one slice at a time.
     slices = [stored(shared_tokens(index.filter(F.expr(f"pmod(sig, {SLICES}) = {k}")))) for k in range(SLICES)]
@@ -129,24 +164,22 @@ def matches(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
     def sets(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(source):
             at, numbers, hashes, of = line_words(batch["text"].to_pylist(), batch["numbers"].to_pylist())
-            names = np.array(batch["doc_id"].to_pylist(), np.int64)
-            rids = pa.array((names[at] << LINE_BITS) + numbers, pa.int64())
+            lines_of = rids(batch["doc"], numbers + batch["first"].to_numpy(zero_copy_only=False)[at], batch["key"], at)
             scrambled = mixed(hashes)
             wide = np.zeros((len(at), WIDE), np.uint64)
             cell = (scrambled >> np.uint64(6)) % np.uint64(WIDE)
             np.bitwise_xor.at(wide, (of, cell.astype(np.int64)), np.uint64(1) << (scrambled & np.uint64(63)))
             kept = [lists(hashes, np.bincount(of, minlength=len(at))), lists(wide.ravel(), np.full(len(at), WIDE))]
-            yield pa.RecordBatch.from_arrays([rids, *kept], ["rid", "tokens", "wide"])
+            yield pa.RecordBatch.from_arrays([lines_of, *kept], ["rid", "tokens", "wide"])
 
     def matching(pairs: DataFrame) -> DataFrame:
         ids = pairs.select(F.col("a").alias("rid")).union(pairs.select("b")).distinct()
-        numbers = stored(ids.groupBy(F.shiftright("rid", LINE_BITS).alias("doc_id")).agg(
-            F.collect_list(F.col("rid").bitwiseAND((1 << LINE_BITS) - 1).cast("int")).alias("numbers")
-        ))
+        number = F.expr(f"cast(rid.line % {NO_ID_LINES} as int)")
+        numbers = stored(ids.groupBy(F.col("rid.doc").alias("doc"), F.col("rid.key").alias("key")).agg(F.collect_list(number).alias("numbers")))
         texts = documents
         if numbers.count() <= BROADCAST_IDS:
-            texts = texts.join(F.broadcast(numbers.select("doc_id")), "doc_id", "left_semi")
-        found = texts.join(numbers, "doc_id").mapInArrow(sets, "rid bigint, tokens array<bigint>, wide array<bigint>")
+            texts = texts.join(F.broadcast(numbers.select("doc", "key")), ["doc", "key"], "left_semi")
+        found = texts.join(numbers, ["doc", "key"]).mapInArrow(sets, f"{RID}, tokens array<bigint>, wide array<bigint>")
         found = stored(found.dropDuplicates(["rid"]))
         # Wide sketches first: token sets are only moved for pairs that these let pass.
         one = found.select(F.col("rid").alias("a"), F.size("tokens").alias("n_a"), F.col("wide").alias("wide_a"))
@@ -155,21 +188,22 @@ def matches(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
         likely = pairs.join(one, "a").join(two, "b").filter(f"{100 + percent} * {apart} <= {100 - percent} * (n + n_a)")
         return overlaps(stored(likely.select("a", "b")), found.select("rid", "tokens"), percent)
 
-    led = [part.filter("lead IS NOT NULL").select(F.col("lead").alias("a"), F.col("rid").alias("b")) for part in slices]
+    led = [part.filter("pair IS NOT NULL").select("pair.a", "pair.b") for part in slices]
     first_pairs = stored(reduce(DataFrame.union, led).distinct())
     gone = stored(matching(first_pairs).select(F.col("b").alias("rid")).distinct())
 
     def all_pairs(part: DataFrame) -> DataFrame:
         part = part.filter("c > 2").select("sig", "rid", "n", "pos", "sketch")
         rest = part.join(gone, "rid", "left_anti").withColumnRenamed("rid", "b")
-        earlier = part.select("sig", F.col("rid").alias("a"), *[F.col(x).alias(f"{x}_a") for x in ("n", "pos", "sketch")])
-        return rest.join(earlier, "sig").filter("a < b").filter(fits).select("a", "b").distinct()
+        others = part.select("sig", F.col("rid").alias("a"), *[F.col(x).alias(f"{x}_a") for x in ("n", "pos", "sketch")])
+        return rest.join(others, "sig").filter(earlier("a", "b")).filter(fits).select("a", "b").distinct()
 
     # Lines not settled by the leaders meet every earlier line under their tokens.
     pairs = reduce(DataFrame.union, [stored(all_pairs(part)) for part in slices]).distinct()
     pairs = stored(pairs.join(first_pairs, ["a", "b"], "left_anti"))
     more = matching(pairs).select(F.col("b").alias("rid")).distinct()
-    return copies.union(gone).union(more)
+    met = stored(gone.union(more))
+    return copies.union(met).union(twins.join(met.select(F.col("rid").alias("first")).distinct(), "first").select("rid"))
 
 
 def dedup(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
@@ -177,16 +211,17 @@ def dedup(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", perc
 
     A line goes if an earlier one, by (doc_id, line number), has a word set with 100 *
     intersection >= percent * union, both as they stand in the input. Lines without a word
-    stay. Null texts stay null; rows that repeat an id and a text lose the same lines. Ids
-    must lie within +-2**40 and texts have fewer than 2**22 lines (null ids come last).
+    stay. Null texts stay null; rows that repeat an id and a text lose the same lines. Other
+    texts under one id are documents of their own, as are those without an id, which come
+    last; between these only the line number decides which line is earlier.
     """
-    key = F.coalesce(F.col(doc_id).cast("bigint"), F.lit(NO_ID))
-    own = documents.select(key.alias("doc_id"), F.col(text).alias("text"))
+    rows = keyed(documents, doc_id, text)
+    own = rows.select(F.col("_doc").alias("doc"), F.col("_first").alias("first"), F.col("_key").alias("key"), F.col(text).alias("text"))
     removed = matches(own, percent)
-    numbers = removed.groupBy(F.shiftright("rid", LINE_BITS).alias("_doc")).agg(
-        F.collect_set(F.col("rid").bitwiseAND((1 << LINE_BITS) - 1).cast("int")).alias("_gone")
+    numbers = removed.groupBy(F.col("rid.doc").alias("_doc"), F.col("rid.key").alias("_key")).agg(
+        F.collect_set(F.expr(f"cast(rid.line % {NO_ID_LINES} as int)")).alias("_gone")
     )
-    joined = documents.withColumn("_doc", key).join(numbers, "_doc", "left").drop("_doc")
+    joined = rows.join(numbers, ["_doc", "_key"], "left").select(*documents.columns, "_gone")
     at = joined.columns.index(text)
     names = [*documents.columns, "n_lines", "n_removed"]
 
