@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import re
+from functools import cache
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 # Short public license texts and one-line notices, by SPDX identifier.
@@ -44,6 +48,72 @@ KNOWN = [
     ),
 ]
 
+TEXTS = Path(__file__).with_name("license_texts")
+# Title lines that stand above a text or are left out.
+TITLES = {
+    "BSD-2-Clause": ["BSD 2-Clause License", "The 2-Clause BSD License", "BSD 2-Clause \"Simplified\" License", "Simplified BSD License"],
+    "BSD-3-Clause": ["BSD 3-Clause License", "The 3-Clause BSD License", "BSD 3-Clause \"New\" or \"Revised\" License", "New BSD License"],
+    "ISC": ["ISC License", "The ISC License", "ISC License (ISC)"],
+    "MIT": ["MIT License", "The MIT License", "The MIT License (MIT)"],
+    "Unlicense": ["The Unlicense", "Unlicense"],
+}
+# The title of a text that has its own: everything above this.
+BODY = {
+    "Apache-2.0": r"TERMS AND CONDITIONS FOR USE", "Artistic-1.0": r"Preamble", "CC0-1.0": r"CREATIVE COMMONS CORPORATION IS",
+    "GFDL": r"Copyright \(C\)", "GPL": r"Copyright \(C\)", "LGPL": r"Copyright \(C\)", "MPL": r"1\. Definitions",
+}
+# What may follow the terms: instructions how to apply them.
+APPENDIX = r"(?m)^\s*(END OF TERMS AND CONDITIONS|ADDENDUM: How to use this License)"
+# Names in notices, by SPDX identifier.
+NAMES = {
+    "Apache-2.0": ["Apache License, Version 2.0", "Apache License 2.0", "Apache 2.0 License"],
+    "BSD-2-Clause": ["BSD 2-Clause License", "2-Clause BSD License", "Simplified BSD License"],
+    "BSD-3-Clause": ["BSD 3-Clause License", "3-Clause BSD License", "New BSD License"],
+    "CC-BY-4.0": ["Creative Commons Attribution 4.0 International License", "CC BY 4.0"],
+    "CC-BY-NC-4.0": ["Creative Commons Attribution-NonCommercial 4.0 International License", "CC BY-NC 4.0"],
+    "CC-BY-SA-4.0": ["Creative Commons Attribution-ShareAlike 4.0 International License", "CC BY-SA 4.0"],
+    "CC0-1.0": ["CC0 1.0", "CC0 1.0 Universal"],
+    "GPL-1.0": ["GNU General Public License, version 1", "GPL version 1", "GPLv1"],
+    "GPL-2.0": ["GNU General Public License, version 2", "GNU General Public License version 2.0", "GPL version 2", "GPLv2"],
+    "GPL-3.0": ["GNU General Public License, version 3", "GNU General Public License version 3.0", "GPL version 3", "GPLv3"],
+    "ISC": ["ISC License"],
+    "LGPL-2.1": ["GNU Lesser General Public License, version 2.1", "LGPL version 2.1", "LGPLv2.1"],
+    "LGPL-3.0": ["GNU Lesser General Public License, version 3", "LGPL version 3", "LGPLv3"],
+    "MIT": ["MIT License"],
+    "MPL-1.1": ["Mozilla Public License, version 1.1", "MPL 1.1"],
+    "MPL-2.0": ["Mozilla Public License, version 2.0", "Mozilla Public License, v. 2.0", "MPL 2.0"],
+    "Unlicense": ["Unlicense"],
+}
+OPENINGS = [f"{who}{how} under the terms of the" for who in ("", "This work is ", "This file is ", "This software is ", "This project is ") for how in ("licensed", "released", "distributed")]
+OPENINGS += [x.replace(" the terms of the", the) for x in OPENINGS for the in (" the", "")]
+
+
+@cache
+def known_texts() -> list[tuple[str, str]]:
+    """``KNOWN``, the texts of the data folder with and without titles and appendices, notices."""
+    found = list(KNOWN)
+    texts = [(file.name.removesuffix(".txt").removesuffix(".regents"), file.read_text()) for file in sorted(TEXTS.glob("*.txt"))]
+    for name, text in [*texts, *((name, text.removeprefix("MIT License\n")) for name, text in KNOWN if len(text) > 500)]:
+        pattern = BODY.get(name) or BODY.get(name.split("-")[0])
+        bodies = [text, text[re.search(pattern, text).start() :]] if pattern else [text]
+        if cut := re.search(APPENDIX, text):
+            ends = [cut.start(), *([cut.end()] if "END OF" in cut[0] else [])]
+            bodies += [body[: len(body) - (len(text) - end)] for body in bodies for end in ends]
+        if name in TITLES:  # a holder's line "All rights reserved." is no part of the terms
+            body = re.sub(r"(?m)^All rights reserved\.\n", "", text)
+            bodies += [f"{title}{rights}{body}" for title in ["", *(f"{x}\n" for x in TITLES[name])] for rights in ("", "All rights reserved.\n")]
+        found += [(name, body) for body in bodies]
+    for name, called in NAMES.items():
+        gnu = re.match("L?GPL", name)
+        for spdx in [name, *([f"{name}-only", f"{name}-or-later", f"{name}+"] if gnu else [])]:
+            found.append((spdx.replace("-only", "").replace("+", "-or-later"), f"SPDX-License-Identifier: {spdx}"))
+        for one in called:
+            found += [(name, f"{opening} {one}") for opening in OPENINGS]
+            if gnu:
+                found += [(f"{name}-or-later", f"{opening} {one}{later}") for opening in OPENINGS for later in (" or later", ", or any later version", " or (at your option) any later version")]
+    return found
+
+
 # Spellings that count as equal, (pattern, replacement), on lower-cased text.
 SPELLINGS = [
     ("licence", "license"),
@@ -70,7 +140,7 @@ def canonical(text: Column) -> Column:
 
 def known_digests(spark: SparkSession, texts: list[tuple[str, str]] | None = None) -> DataFrame:
     """``digest, license_id`` of the known texts; one license per digest (the first id)."""
-    frame = spark.createDataFrame(texts or KNOWN, "license_id string, body string")
+    frame = spark.createDataFrame(texts or known_texts(), "license_id string, body string")
     return frame.groupBy(F.sha2(canonical(F.col("body")), 256).alias("digest")).agg(
         F.min("license_id").alias("license_id")
     )
