@@ -23,18 +23,26 @@ def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     return kept.withColumn("n_chars", F.length("text").cast("bigint")).select(*docs.columns)
 
 
+def numbered(docs: DataFrame) -> DataFrame:
+    """Append ``_row``: ids may be null or repeated, row numbers are not. Stored, so that they stay."""
+    return stored(docs.withColumn("_row", F.monotonically_increasing_id()))
+
+
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each group of near duplicates."""
-    groups = ngrams.near_duplicates(docs)
-    firsts = groups.filter("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.join(firsts, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.union(docs.filter("doc_id IS NULL")).select(*docs.columns)
+    rows = numbered(docs)
+    groups = ngrams.near_duplicates(rows, "_row").select(F.col("doc_id").alias("_row"), "component_id")
+    # Null ids come last; of rows with the smallest id one is taken, by a hash of its text.
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", F.xxhash64("text").alias("hash"), "_row")
+    firsts = rows.select("_row", place.alias("place")).join(groups, "_row").groupBy("component_id").agg(F.min("place")["_row"].alias("_row"))
+    return rows.join(firsts, "_row", "left_semi").select(*docs.columns)
 
 
 def to_target_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it."""
-    taken = mixing.mix(docs).filter("copies > 0").select(F.col("doc_id").alias("_id"), F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("_copy"))
-    return docs.join(taken, F.col("doc_id").eqNullSafe(F.col("_id"))).select(*docs.columns)
+    rows = numbered(docs)
+    taken = mixing.mix(rows, carry=("_row",)).filter("copies > 0").select("_row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("_copy"))
+    return rows.join(taken, "_row").select(*docs.columns)
 
 
 def into_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

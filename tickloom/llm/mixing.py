@@ -65,6 +65,7 @@ def mix(
     most: float = MOST,
     seed: int = 17,
     draws: int = 16,
+    carry: tuple[str, ...] = (),
 ) -> DataFrame:
     """Copies of each document: ``doc_id, source, size, source_size, target, copies, taken``.
 
@@ -73,11 +74,12 @@ def mix(
     once per integer crossed. That order spreads sizes evenly over what is taken. Row
     numbers come from range partitions, so a source may hold any share of the rows.
     Empty texts have size 0 and add nothing; rows with equal ids are separate documents.
+    Columns named in ``carry`` are appended; they decide between rows that are otherwise equal.
     """
     sized = documents.select(
-        F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), word_count(F.col(text)).alias("size")
+        F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), word_count(F.col(text)).alias("size"), *carry
     )
-    order = [F.col("source").asc_nulls_last(), F.col("size").asc(), F.col("doc_id").asc_nulls_last()]
+    order = [F.col("source").asc_nulls_last(), F.col("size").asc(), F.col("doc_id").asc_nulls_last(), *carry]
     numbered, _ = number_rows(stored(sized), "row", order)
     numbered = stored(numbered)
     targets = source_targets(numbered, weights, most).select(
@@ -102,5 +104,5 @@ def mix(
     copies = crossed(F.col("start"))
     return joined.select(
         "doc_id", "source", "size", "source_size", "target",
-        copies.alias("copies"), (copies * F.col("size")).alias("taken"),
+        copies.alias("copies"), (copies * F.col("size")).alias("taken"), *carry,
     )
