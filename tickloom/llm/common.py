@@ -19,10 +19,15 @@ from tickloom.session import ensure_checkpoint_dir
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+def table_path(spark: SparkSession, kind: str = "table") -> str:
+    """A new folder in the shared checkpoint folder."""
+    return f"{ensure_checkpoint_dir(spark)}/{kind}-{uuid.uuid4().hex}"
+
+
 def stored(df: DataFrame) -> DataFrame:
     """Write ``df`` into the shared checkpoint folder and read it back: a lost executor
     costs no recomputation beyond this point, and columns can be pruned."""
-    path = f"{ensure_checkpoint_dir(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    path = table_path(df.sparkSession)
     df.write.parquet(path)
     # Shuffle files of finished jobs go when the JVM collects what refers to them.
     gc.collect()

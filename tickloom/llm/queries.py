@@ -5,11 +5,13 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tickloom.llm import langid, licenses, lines, mixing, neighbours, ngrams, packing, quality, substring, toxicity
-from tickloom.llm.common import read, remainder, stored
+from tickloom.llm import clusters, langid, licenses, lines, mixing, neighbours, ngrams, packing, quality, substring, token_files, toxicity, whitening
+from tickloom.llm.common import read, remainder, stored, table_path
 from tickloom.session import use_session_defaults
 
 VOCABULARY = "byte_bpe_50k.json"
+WORD_VOCABULARY = "word_bpe_49k.json"
+WORD_END = 1
 
 
 def op1_license_scan(spark: SparkSession, folder: str) -> DataFrame:
@@ -81,6 +83,21 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_clusters(spark: SparkSession, folder: str) -> DataFrame:
+    return clusters.with_inertia(clusters.cluster(read(spark, folder, "embeddings")))
+
+
+def op12_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Files written below the checkpoint folder, and every document read back from them."""
+    path = table_path(spark, "token-files")
+    token_files.write_tokens(read(spark, folder, "documents"), path, public_tokenizers.path(WORD_VOCABULARY), WORD_END)
+    return token_files.encoded(spark, path)
+
+
+def op13_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whiten(read(spark, folder, "embeddings"))
+
+
 def _own_session(query):
     def run(spark: SparkSession, folder: str) -> DataFrame:
         return query(use_session_defaults(spark), folder)
@@ -93,6 +110,6 @@ QUERIES = {
     query.__name__: _own_session(query)
     for query in (
         op1_license_scan, op2_substring_dedup, op3_mix_sources, op4_quality_divergence, op5_ngram_join,
-        op6_nearest, op7_language, op8_line_dedup, op9_pack, op10_toxicity,
+        op6_nearest, op7_language, op8_line_dedup, op9_pack, op10_toxicity, op11_clusters, op12_token_files, op13_whitening,
     )
 }
