@@ -12,7 +12,7 @@ and nothing but a count per file is summed up over the whole corpus.
 from __future__ import annotations
 
 import zlib
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
 from tickloom.llm.common import chunks
-from tickloom.llm.tokens import coder_of, without_spaces
+from tickloom.llm.tokens import WORD_ENDS, Rules, coder_of
 
 GROUP_BYTES = 16 << 20
 PAGE_BYTES = 64 << 10
@@ -35,7 +35,7 @@ def write_tokens(
     end: int,
     doc_id: str = "doc_id",
     text: str = "text",
-    split: Callable[[str], list[str]] = without_spaces,
+    rules: Rules = WORD_ENDS,
     group_bytes: int = GROUP_BYTES,
     page_bytes: int = PAGE_BYTES,
 ) -> None:
@@ -51,7 +51,7 @@ def write_tokens(
     ranged = rows.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "text")
 
     def encode(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = coder_of(vocabulary, split)
+        coder = coder_of(vocabulary, rules)
         part = TaskContext.get().partitionId()
         before = 0
         for batch in chunks(source):
