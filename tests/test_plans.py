@@ -2,11 +2,12 @@
 
 import pytest
 
-from __spark_entry__ import queries
+import __spark_entry__ as entry
 from conftest import DATA, plan_of
 
-PYTHON_NODES = ("PythonUDF", "BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroups")
-QUERIES = queries()
+PYTHON_NODES = ("PythonUDF", "BatchEvalPython", "ArrowEvalPython", "MapInPandas", "MapInArrow", "FlatMapGroups")
+# Queries of the optional subpackage are tested beside it.
+QUERIES = {k: v for k, v in entry.queries().items() if k not in entry.LLM_QUERIES}
 
 
 @pytest.fixture(scope="module")

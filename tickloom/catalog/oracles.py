@@ -497,6 +497,28 @@ _BODIES: dict[str, str] = {
                 RANGE BETWEEN INTERVAL 7 DAY PRECEDING AND INTERVAL 1 DAY PRECEDING)) x""",
 }
 
+# Keys of two loads: known ones first, new ones above them.
+_LOADED = """
+, loaded_t AS (
+  SELECT ticker, sector, min(timestamp) AS a, max(timestamp) AS b,
+    row_number() OVER (ORDER BY min(timestamp) >= TIMESTAMP '2024-01-16 12:00:00', ticker, sector) AS ticker_sk
+  FROM ticks GROUP BY ticker, sector),
+loaded_s AS (
+  SELECT sector, row_number() OVER (ORDER BY min(timestamp) >= TIMESTAMP '2024-01-16 12:00:00', sector) AS sector_sk
+  FROM ticks GROUP BY sector)
+"""
+_LOADED_BODIES = {
+    "fct_incremental": f"""
+        SELECT d.ticker_sk, s.sector_sk, t.timestamp, t.fetch_ts, t.volume, CAST(t.timestamp AS DATE) AS date_id,
+          {", ".join(f"round(1.00000000001 * t.{c}, 6) AS {c}" for c in _TICK_DOUBLES.split())}
+        FROM ticks t LEFT JOIN loaded_t d ON t.ticker = d.ticker LEFT JOIN loaded_s s ON t.sector = s.sector""",
+    "dim_ticker_merged": """
+        SELECT ticker_sk, ticker AS ticker_code, replace(ticker, '.JK', '') AS ticker_name, sector,
+          CAST(a AS DATE) AS first_seen_date, CAST(b AS DATE) AS last_seen_date,
+          CAST(b AS DATE) >= DATE '2024-01-23' AS is_active
+        FROM loaded_t""",
+}
+
 _RATE = "round(1.00000000001 * (CAST(failed_rows AS DOUBLE) / NULLIF(total_rows, 0)), 6) AS failure_rate"
 
 _LOG_BODIES = {
@@ -547,6 +569,10 @@ def oracle_sql() -> dict[str, str]:
     """SQL text per query name."""
     texts = {name: BASE + body for name, body in _BODIES.items()}
     texts.update({name: _with_log(body) for name, body in _LOG_BODIES.items()})
+    texts.update({name: BASE + _LOADED + body for name, body in _LOADED_BODIES.items()})
+    texts["agg_sector_hourly_merged"] = texts["agg_sector_hourly"].replace(
+        "SELECT sector, hour_bucket, round", "SELECT sector, hour_bucket, CAST(hour_bucket AS DATE) AS date_id, round"
+    )
     texts["dq_not_null"] = BASE + _NOT_NULL
     rates = " UNION ALL ".join(
         f"SELECT date_id, '{check_id}' AS check_id, count(*) AS n, "

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
 from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -42,3 +44,24 @@ def with_surrogate_key(df: DataFrame, name: str, order_by: list[str]) -> DataFra
     """
     keyed, rows = number_rows(df, name, [F.col(c).asc_nulls_first() for c in order_by])
     return broadcast_within(keyed, rows)
+
+
+def same_values(left: DataFrame, right: DataFrame, columns: Sequence[str]) -> Column:
+    """Join condition: all columns equal, NULL with NULL."""
+    return reduce(lambda a, b: a & b, [left[c].eqNullSafe(right[c]) for c in columns])
+
+
+def extend_keys(known: DataFrame | None, values: DataFrame, name: str, columns: Sequence[str]) -> DataFrame:
+    """The key registry ``name, *columns`` with every distinct row of ``values`` in it.
+
+    Keys once given are kept. New values are numbered above the largest key, in the order of
+    the columns (NULL first), over range partitions.
+    """
+    fresh = values.select(*columns).distinct()
+    start = 0
+    if known is not None:
+        fresh = fresh.join(known, same_values(fresh, known, columns), "left_anti")
+        start = known.agg(F.max(name)).first()[0] or 0
+    numbered, _ = number_rows(fresh, "_number", [F.col(c).asc_nulls_first() for c in columns])
+    added = numbered.select((F.col("_number") + start).cast("bigint").alias(name), *columns)
+    return added if known is None else known.select(name, *columns).unionByName(added)

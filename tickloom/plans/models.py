@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from tickloom.asof import AsOf
 from tickloom.functions import display_name, safe_ratio, sector_category
 from tickloom.operators.joins import lookup_key
-from tickloom.operators.keys import with_surrogate_key
+from tickloom.operators.keys import same_values, with_surrogate_key
 from tickloom.operators.rank import top_within, with_row_number
 
 # Look-back windows and thresholds of the models.
@@ -57,13 +57,19 @@ def ticker_spans(ticks: DataFrame) -> DataFrame:
     )
 
 
-def dim_ticker(ticks: DataFrame, as_of: AsOf = AsOf(), spans: DataFrame | None = None) -> DataFrame:
-    """One row per (ticker, sector), keyed in ticker order.
+def dim_ticker(
+    ticks: DataFrame, as_of: AsOf = AsOf(), spans: DataFrame | None = None, keys: DataFrame | None = None
+) -> DataFrame:
+    """One row per (ticker, sector), keyed in ticker order or by the registry ``keys``.
 
     The spans are aggregated first, so only one row per pair is sorted for the key.
     """
     spans = ticker_spans(ticks) if spans is None else spans
-    keyed = with_surrogate_key(spans, "ticker_sk", ["ticker", "sector"])
+    if keys is None:
+        keyed = with_surrogate_key(spans, "ticker_sk", ["ticker", "sector"])
+    else:
+        same = same_values(spans, keys, ["ticker", "sector"])
+        keyed = spans.join(keys.select("ticker_sk", "ticker", "sector"), same).select(keys.ticker_sk, *[spans[c] for c in spans.columns])
     return keyed.select(
         "ticker_sk",
         F.col("ticker").alias("ticker_code"),
@@ -75,12 +81,19 @@ def dim_ticker(ticks: DataFrame, as_of: AsOf = AsOf(), spans: DataFrame | None =
     )
 
 
-def dim_sector(ticks: DataFrame, mapping: DataFrame | None = None) -> DataFrame:
+def dim_sector(
+    ticks: DataFrame, mapping: DataFrame | None = None, keys: DataFrame | None = None
+) -> DataFrame:
     """One row per sector; the category follows the built-in groups or ``mapping``.
 
-    ``ticks`` may be any relation with a sector column, such as the ticker spans.
+    ``ticks`` may be any relation with a sector column, such as the ticker spans. Keys follow
+    the names, or the registry ``keys``.
     """
-    keyed = with_surrogate_key(ticks.select("sector").distinct(), "sector_sk", ["sector"])
+    distinct = ticks.select("sector").distinct()
+    if keys is None:
+        keyed = with_surrogate_key(distinct, "sector_sk", ["sector"])
+    else:
+        keyed = distinct.join(keys.select("sector_sk", "sector"), same_values(distinct, keys, ["sector"])).select(keys.sector_sk, distinct.sector)
     named = keyed.select("sector_sk", F.col("sector").alias("sector_name"))
     if mapping is None:
         return named.withColumn("sector_category", sector_category(F.col("sector_name")))
