@@ -148,7 +148,7 @@ class DumpFeed:
 
 def test_high_water_over_batches_and_restart(spark, tmp_path):
     feed = DumpFeed(spark, tmp_path)
-    sink = HighWaterSink(str(tmp_path / "hw"), full_every=2)
+    sink = HighWaterSink(str(tmp_path / "hw"), "offset", full_every=2, pack_every=2)
     feed.put(tick("A", "09:30"), tick("A", "09:31"), tick("A", "09:30"))
     feed.put(tick("A", "09:31"), tick("A", "09:33"), tick("A", "09:32"), tick("B", "09:00"))
     start_high_water(feed.stream(), sink).awaitTermination()
@@ -161,7 +161,7 @@ def test_high_water_over_batches_and_restart(spark, tmp_path):
 
 
 def test_repeating_a_batch_changes_nothing(spark, tmp_path):
-    sink = HighWaterSink(str(tmp_path / "hw"))
+    sink = HighWaterSink(str(tmp_path / "hw"), "offset")
     schema = "ticker STRING, timestamp TIMESTAMP, offset BIGINT"
     first = spark.createDataFrame([("A", datetime(2024, 1, 30, 9), 0)], schema)
     second = spark.createDataFrame([("A", datetime(2024, 1, 30, 10), 1), ("A", datetime(2024, 1, 30, 9), 2)], schema)

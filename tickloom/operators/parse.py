@@ -11,6 +11,7 @@ CORRUPT = "_corrupt_record"
 MESSAGE_COLUMNS = ("topic", "partition", "offset")
 MALFORMED = "malformed"
 NO_EVENT_TIME = "no_event_time"
+UNKNOWN_VERSION = "unknown_version"
 
 
 def parse_messages(
@@ -86,18 +87,48 @@ def schema_version(headers: Column) -> Column:
     return F.coalesce(header_value(headers, "schema_version"), F.lit(SCHEMA_VERSION))
 
 
+def parse_by_version(
+    messages: DataFrame, contracts: dict[str, T.StructType], keep: tuple[str, ...] = ()
+) -> DataFrame:
+    """Every message parsed by its own contract version, in one pass.
+
+    The result has the fields of all contracts, ``schema_version`` and ``reject_reason``. A field
+    that a message's contract does not have is NULL, whatever the payload says. Messages of a
+    version or schema that is not listed are rejected as ``unknown_version``. Contracts may add
+    fields but agree on the types of those they share.
+    """
+    fields: dict[str, T.StructField] = {}
+    for version, contract in contracts.items():
+        for f in contract.fields:
+            if fields.setdefault(f.name, f).dataType != f.dataType:
+                raise ValueError(f"{f.name} has another type in version {version}")
+    headers = F.col("headers")
+    named = F.coalesce(header_value(headers, "schema_name"), F.lit(SCHEMA_NAME))
+    marked = messages.withColumn("schema_version", schema_version(headers)).withColumn("_known", named == SCHEMA_NAME)
+    parsed = parse_messages(marked, T.StructType(list(fields.values())), (*keep, "schema_version", "_known"))
+    version, listed = F.col("schema_version"), F.col("_known") & F.col("schema_version").isin(list(contracts))
+    columns = []
+    for name in fields:
+        has_it = [v for v, contract in contracts.items() if name in contract.names]
+        columns.append(F.when(listed & version.isin(has_it), F.col(name)).alias(name))
+    carried = [c for c in parsed.columns if c not in fields and c not in ("_known", "reject_reason")]
+    reason = F.when(~listed, UNKNOWN_VERSION).otherwise(F.col("reject_reason"))
+    return parsed.select(*carried, *columns, reason.alias("reject_reason"))
+
+
 def route_by_version(
     messages: DataFrame, contracts: dict[str, T.StructType]
 ) -> dict[str, DataFrame]:
-    """Messages of each known contract version, parsed with that contract."""
-    named = F.coalesce(header_value(F.col("headers"), "schema_name"), F.lit(SCHEMA_NAME))
-    known = messages.filter(named == SCHEMA_NAME)
-    return {
-        version: parse_messages(
-            known.filter(schema_version(F.col("headers")) == version), contract
-        )
+    """Messages of each known contract version with its fields, and under ``unknown_version``
+    those of any other one: every message is in exactly one of the frames."""
+    parsed = parse_by_version(messages, contracts)
+    unknown = F.coalesce(F.col("reject_reason") == UNKNOWN_VERSION, F.lit(False))
+    extra = {f for contract in contracts.values() for f in contract.names}
+    routed = {
+        version: parsed.filter(~unknown & (F.col("schema_version") == version)).drop(*(extra - set(contract.names)))
         for version, contract in contracts.items()
     }
+    return {**routed, UNKNOWN_VERSION: parsed.filter(unknown)}
 
 
 def field_drift(messages: DataFrame, expected: tuple[str, ...] = TICK_COLUMNS) -> DataFrame:

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from tickloom.operators import folders
 from tickloom.operators.tables import write_table
 
+POINTER_FILES = 20
 POINTERS = "version BIGINT, day DATE, whole BOOLEAN, row_count BIGINT, columns STRING"
 
 
@@ -109,12 +110,23 @@ def current(spark: SparkSession, path: str, partition_by: str | None = None) ->
 
 def drop_superseded(spark: SparkSession, path: str, keep: int = 1) -> list[int]:
     """Delete the files of versions without a current row, but for the last ``keep``
-    publications, which running readers may have open. Returns the versions deleted."""
+    publications, which running readers may have open. Returns the versions deleted.
+
+    Pointers are put together in one file as well: it says what they say, so they may all
+    be there for a while.
+    """
     found, pointers = state(spark, path), _pointers(spark, path)
     if pointers is None:
         return []
-    everything = [row[0] for row in pointers.select("version").distinct().collect()]
-    gone = sorted(v for v in everything if v not in found.in_use and v <= found.last - keep)
+    files = [name for name in folders.names(spark, f"{path}/pointers") if name.endswith(".parquet")]
+    if len(files) > POINTER_FILES:
+        newest = F.max(F.struct("version", "row_count", "columns")).alias("m")
+        kept = pointers.groupBy("whole", "day").agg(newest).select("m.version", "day", "whole", "m.row_count", "m.columns")
+        kept.filter(F.col("version") >= found.whole).coalesce(1).write.mode("append").parquet(f"{path}/pointers")
+        for name in files:
+            folders.delete(spark, f"{path}/pointers/{name}")
+    written = [int(name.partition("=")[2]) for name in folders.names(spark, f"{path}/rows") if name.startswith("version=")]
+    gone = sorted(v for v in written if v not in found.in_use and v <= found.last - keep)
     for version in gone:
         folders.delete(spark, f"{path}/rows/version={version}")
     return gone

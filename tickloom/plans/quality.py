@@ -79,17 +79,18 @@ def accepted_sector_check(accepted: Sequence[str] = tuple(ACCEPTED_SECTORS)) ->
     return Check("accepted_sector", "Known sector", outside, None, "warning")
 
 
-def evaluate(df: DataFrame, checks: Sequence[Check], by: Sequence[str] = ()) -> DataFrame:
-    """All checks over ``df`` in one aggregation, one result row per check (and group).
-
-    The scan is shared, partial counts are combined before the shuffle, and only the
-    aggregated row is unfolded.
-    """
+def check_counts(checks: Sequence[Check]) -> list[Column]:
+    """Two aggregates per check: rows in its scope, and failures."""
     counts = []
     for i, check in enumerate(checks):
         scope = F.lit(True) if check.scope is None else F.coalesce(check.scope, F.lit(False))
         failed = scope & F.coalesce(check.failed, F.lit(False))
         counts += [F.count_if(scope).alias(f"_total_{i}"), F.count_if(failed).alias(f"_failed_{i}")]
+    return counts
+
+
+def check_results(counted: DataFrame, checks: Sequence[Check], by: Sequence[str] = ()) -> DataFrame:
+    """One result row per check (and group) from rows of ``check_counts``."""
     results = [
         F.struct(
             F.lit(check.check_id).alias("check_id"),
@@ -100,11 +101,20 @@ def evaluate(df: DataFrame, checks: Sequence[Check], by: Sequence[str] = ()) ->
         )
         for i, check in enumerate(checks)
     ]
-    unfolded = df.groupBy(*by).agg(*counts).select(*by, F.inline(F.array(*results)))
+    unfolded = counted.select(*by, F.inline(F.array(*results)))
     rate = safe_ratio(F.col("failed_rows"), F.col("total_rows"))
     return unfolded.withColumn("failure_rate", rate)
 
 
+def evaluate(df: DataFrame, checks: Sequence[Check], by: Sequence[str] = ()) -> DataFrame:
+    """All checks over ``df`` in one aggregation, one result row per check (and group).
+
+    The scan is shared, partial counts are combined before the shuffle, and only the
+    aggregated row is unfolded.
+    """
+    return check_results(df.groupBy(*by).agg(*check_counts(checks)), checks, by)
+
+
 def result_log(
     results: DataFrame, as_of: AsOf = AsOf(), batch_id: str = "manual", stage: str = "post_load"
 ) -> DataFrame:

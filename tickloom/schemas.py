@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 # Field names, order and types of the tick record, version 1.
 TICK_JSON_V1 = T.StructType(
@@ -93,3 +93,9 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
 def union_versions(*frames: DataFrame) -> DataFrame:
     """Union frames written under different contract versions, by column name."""
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+
+
+def read_versions(spark: SparkSession, paths: dict[str, T.StructType], schema: T.StructType) -> DataFrame:
+    """Parquet files written under several contract versions as one frame of ``schema``; a field
+    that files of an older version lack is NULL."""
+    return union_versions(*[conform(spark.read.schema(own).parquet(path), schema) for path, own in paths.items()])

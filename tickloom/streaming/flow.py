@@ -9,7 +9,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.errors import StreamingQueryException
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tickloom.operators.clean import clean_ticks
@@ -153,9 +154,24 @@ def to_topic(servers: str, topic: str) -> dict[str, str]:
 
 
 def run_until_any_stops(*queries: StreamingQuery, poll_seconds: int = 1) -> None:
-    """Block until any of the writers ends, then stop the others."""
-    while all(query.isActive for query in queries):
-        queries[0].awaitTermination(poll_seconds)
+    """Block until any of the writers ends, stop the others, raise the error of one that failed.
+
+    The session's stream manager wakes the caller; it also reports streams that are not
+    among ``queries``, which are left alone.
+    """
+    streams = SparkSession.active().streams
+    try:
+        while all(query.isActive for query in queries):
+            try:
+                streams.awaitAnyTermination(poll_seconds)
+            except StreamingQueryException:
+                pass  # whose it is shows below
+            streams.resetTerminated()
+    finally:
+        for query in queries:
+            if query.isActive:
+                query.stop()
     for query in queries:
-        if query.isActive:
-            query.stop()
+        error = query.exception()
+        if error is not None:
+            raise error
