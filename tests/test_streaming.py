@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 
 from tickloom.operators.clean import clean_ticks
 from tickloom.operators.message import to_messages, write_messages
-from tickloom.operators.parse import parse_messages, usable_records
-from tickloom.sources.messages import file_messages, file_stream
-from tickloom.streaming.flow import PARSE_METRICS, TICK_METRICS, start_flow, tick_flow, to_files, to_topic
+from tickloom.operators.parse import parse_messages, schema_version, usable_records
+from tickloom.sources.messages import file_messages, file_stream, stored_messages
+from tickloom.streaming.batches import BatchTable
+from tickloom.streaming.flow import PARSE_METRICS, TICK_METRICS, start_flow, start_packed_flow, tick_flow, to_files, to_topic
 from tickloom.streaming.highwater import HighWaterSink, start_high_water
 from tickloom.streaming.monitor import PROGRESS_SCHEMA, ProgressLog, progress_frame, recent_progress
 
@@ -182,3 +183,28 @@ def test_messages_written_to_files_flow_through(spark, tmp_path):
     write_messages(to_messages(ticks), str(tmp_path / "out"))
     again = tick_flow(file_messages(spark, str(tmp_path / "out"))).ticks
     assert sorted(again.collect()) == sorted(ticks.collect())
+
+
+def test_headers_stay_with_messages_in_files(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.txt").write_text(tick("A", "02:00"))
+    ticks = tick_flow(file_messages(spark, str(tmp_path / "in"))).ticks
+    write_messages(to_messages(ticks), str(tmp_path / "out"), headers=True)
+    again = stored_messages(spark, str(tmp_path / "out"))
+    assert [r.v for r in again.select(schema_version(F.col("headers")).alias("v")).collect()] == ["1"]
+    assert sorted(tick_flow(again).ticks.collect()) == sorted(ticks.collect())
+
+
+def test_packed_flow_keeps_few_files(feed, tmp_path):
+    lines = [tick(t, f"02:{m:02d}") for m in range(7) for t in "AB"]
+    for i in range(7):
+        feed.put(*lines[2 * i : 2 * i + 2], lines[0], "{broken" if i == 3 else lines[1])
+    table = BatchTable(str(tmp_path / "packed"), "timestamp", ("ticker",), pack_every=3)
+    for _ in range(2):  # the second run resumes and finds nothing new
+        flow = tick_flow(file_stream(feed.spark, str(tmp_path / "in"), max_files=1))
+        queries = start_packed_flow(flow, table, to_files(str(tmp_path / "rejects")), str(tmp_path / "cp"))
+        for query in queries:
+            query.awaitTermination()
+    stored = table.read(feed.spark, flow.ticks.schema)
+    assert sorted((r.ticker, r.timestamp.minute) for r in stored.select("ticker", F.col("timestamp").cast("timestamp_ntz").alias("timestamp")).collect()) == sorted((t, m) for m in range(7) for t in "AB")
+    assert len(list((tmp_path / "packed" / "batches").iterdir())) <= 6

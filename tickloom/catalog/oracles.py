@@ -194,6 +194,12 @@ _TICK_DOUBLES = "open high low close"
 _DAILY_DOUBLES = "open_price close_price high_price low_price vwap price_change_pct"
 _SECTOR_COUNTS = "sector date_id ticker_count sector_total_volume tickers_up tickers_down tickers_flat"
 
+_EXPECTED = """
+  SELECT CAST(d.day AS DATE) AS date_id, u.ticker, u.sector
+  FROM universe u JOIN generate_series(TIMESTAMP '2024-01-02', TIMESTAMP '2024-02-07', INTERVAL 1 DAY) d(day)
+    ON CAST(d.day AS DATE) >= DATE '2024-01-01' + CAST(substr(u.ticker, 2, 6) AS INTEGER) % 20
+  WHERE isodow(d.day) <= 5"""
+
 _BODIES: dict[str, str] = {
     # scans and sources
     "raw_scan": _rounded("ticks", "ticker sector timestamp fetch_ts volume", _TICK_DOUBLES),
@@ -384,9 +390,45 @@ _BODIES: dict[str, str] = {
           count(*) - count(o.ticker) AS missing_tickers
         FROM universe u LEFT JOIN (SELECT DISTINCT sector, ticker FROM ticks) o
           ON u.sector = o.sector AND u.ticker = o.ticker GROUP BY u.sector""",
-    "dq_missing_tickers": """
-        SELECT ticker, sector FROM universe WHERE ticker NOT IN (
-          SELECT ticker FROM ticks WHERE timestamp >= TIMESTAMP '2024-01-30 00:00:00')""",
+    "dq_missing_tickers": f"""
+        SELECT date_id, ticker, sector FROM ({_EXPECTED}) e WHERE NOT EXISTS (
+          SELECT 1 FROM ticks t WHERE t.ticker = e.ticker AND CAST(t.timestamp AS DATE) = e.date_id)""",
+    "ticker_coverage_calendar": f"""
+        SELECT e.date_id, count(*) AS tickers_expected, count(o.ticker) AS tickers_succeeded,
+          count(*) - count(o.ticker) AS tickers_failed
+        FROM ({_EXPECTED}) e LEFT JOIN (SELECT DISTINCT ticker, CAST(timestamp AS DATE) AS date_id FROM ticks) o
+          ON o.ticker = e.ticker AND o.date_id = e.date_id GROUP BY e.date_id""",
+    "route_versions": """
+        SELECT schema_version, outcome, count(*) AS messages,
+          count(*) FILTER (WHERE outcome = 'accepted' AND schema_version = '2' AND event_id % 83 = 7) AS bids,
+          count(*) FILTER (WHERE outcome = 'accepted' AND ticker IS NOT NULL) AS tickers
+        FROM (SELECT event_id, ticker, schema_version,
+            CASE WHEN schema_version = '9' OR (event_id % 13 = 5 AND event_id % 7 <> 0) THEN 'unknown_version'
+                 WHEN event_id % 89 = 7 OR event_id % 179 = 7 THEN 'malformed' ELSE 'accepted' END AS outcome
+          FROM (SELECT event_id, ticker,
+              CASE WHEN event_id % 7 < 3 THEN '1' WHEN event_id % 7 < 5 THEN '2' ELSE '9' END AS schema_version
+            FROM raw_ticks) v) r
+        GROUP BY schema_version, outcome""",
+    "silent_feeds": """
+        SELECT 'ticks-' || i AS feed, last_seen,
+          date_diff('second', date_trunc('second', last_seen), TIMESTAMP '2024-01-30 12:00:00') AS silent_seconds,
+          coalesce(date_diff('second', date_trunc('second', last_seen), TIMESTAMP '2024-01-30 12:00:00') > 600, true) AS is_silent
+        FROM range(5) r(i) LEFT JOIN (
+          SELECT user_id % 4 AS p, max(fetch_ts) AS last_seen FROM raw_ticks
+          WHERE fetch_ts <= TIMESTAMP '2024-01-30 12:00:00' GROUP BY user_id % 4) m ON m.p = r.i""",
+    "layer_fingerprints": """
+        SELECT layer, date_id, count(*) AS row_count, CAST(sum(h) AS VARCHAR) AS hash_sum, bit_xor(h) AS hash_xor
+        FROM (SELECT layer, CAST(timestamp AS DATE) AS date_id,
+            CAST('0x' || substr(md5(concat(ticker, '|', CAST(epoch(timestamp) AS BIGINT), '|', volume)), 1, 15) AS BIGINT) AS h
+          FROM (SELECT 'ticks' AS layer, ticker, timestamp, volume FROM ticks
+                UNION ALL SELECT 'staged', ticker, timestamp, volume FROM stg) u) x
+        GROUP BY layer, date_id""",
+    "dq_key_integrity": """
+        SELECT CAST(count(*) FILTER (WHERE a >= TIMESTAMP '2024-01-16 12:00:00') AS BIGINT) AS rows_without_key,
+          CAST(count(*) FILTER (WHERE a < TIMESTAMP '2024-01-16 12:00:00' AND a >= TIMESTAMP '2024-01-16') AS BIGINT) AS rows_with_unknown_key,
+          count(DISTINCT t.ticker) FILTER (WHERE a < TIMESTAMP '2024-01-16 12:00:00' AND a >= TIMESTAMP '2024-01-16') AS unknown_keys,
+          CAST(0 AS BIGINT) AS unused_dimension_rows
+        FROM ticks t JOIN (SELECT ticker, min(timestamp) AS a FROM clean GROUP BY ticker) f ON t.ticker = f.ticker""",
     "freshness": """
         SELECT latest_ts, date_diff('second', latest_ts, TIMESTAMP '2024-01-30 12:00:00') AS age_seconds,
           coalesce(date_diff('second', latest_today, TIMESTAMP '2024-01-30 12:00:00') < 600, false) AS gate_open,
@@ -395,9 +437,9 @@ _BODIES: dict[str, str] = {
                 max(timestamp) FILTER (WHERE CAST(timestamp AS DATE) = DATE '2024-01-30') AS latest_today
               FROM clean WHERE timestamp <= TIMESTAMP '2024-01-30 12:00:00') x""",
     "ticker_coverage": """
-        SELECT CAST(t.timestamp AS DATE) AS date_id, count(DISTINCT t.ticker) AS tickers_succeeded,
-          55 - count(DISTINCT t.ticker) AS tickers_failed
-        FROM ticks t JOIN universe u ON t.ticker = u.ticker GROUP BY CAST(t.timestamp AS DATE)""",
+        SELECT CAST(t.timestamp AS DATE) AS date_id, count(DISTINCT u.ticker) AS tickers_succeeded,
+          55 - count(DISTINCT u.ticker) AS tickers_failed
+        FROM ticks t LEFT JOIN universe u ON t.ticker = u.ticker GROUP BY CAST(t.timestamp AS DATE)""",
     # extensions
     "agg_daily_ticker": _rounded(
         "aggd", "ticker_sk sector_sk date_id total_volume volume_rank_in_sector", _DAILY_DOUBLES),
@@ -560,6 +602,7 @@ _TREND_CHECKS = [
     ("ohlcv_logic", _PRICE_LOGIC),
     ("negative_volume", "volume < 0"),
     ("null_critical_fields", "ticker IS NULL OR timestamp IS NULL"),
+    ("stale_data", _STALE),
     ("not_null_close", "close IS NULL"),
     ("not_null_volume", "volume IS NULL"),
 ]

@@ -21,11 +21,12 @@ from tickloom.operators.parse import (
     field_drift,
     header_value,
     malformed_messages,
+    parse_by_version,
     parse_messages,
     usable_records,
 )
-from tickloom.plans import extensions, models, quality, refresh, reports
-from tickloom.schemas import TICK_COLUMNS, TICK_JSON_V1
+from tickloom.plans import calendar, extensions, models, quality, reconcile, refresh, reports
+from tickloom.schemas import SCHEMA_NAME, TICK_COLUMNS, TICK_JSON_V1
 from tickloom.session import ensure_checkpoint_dir, use_session_defaults
 from tickloom.sources.events import EventTicks, arrival_order, fixture_universe
 from tickloom.sources.files import with_sector
@@ -37,6 +38,8 @@ WEEK_START = "2024-01-23 00:00:00"
 FORTNIGHT_START = "2024-01-16 12:00:00"
 ALREADY_SENT_BEFORE = "2024-01-20 00:00:00"
 RECLASSIFIED_ON = "2024-01-16"
+# The calendar runs a week beyond the data: trading days on which every ticker is missing.
+MONTH_START, MONTH_END, HOLIDAY = "2024-01-01", "2024-02-07", "2024-01-01"
 BATCH_ID = "batch-1"
 # Two loads: the first ends in the middle of a day, which the second one sends again, whole.
 FIRST_LOAD_UNTIL = "2024-01-16 12:00:00"
@@ -481,10 +484,23 @@ def dq_sector_coverage(s: Scope) -> DataFrame:
     return quality.sector_coverage(s.source.clean(), s.universe())
 
 
+def _expected(s: Scope) -> DataFrame:
+    """Listed tickers of every trading day; ticker n is listed from the (n mod 20)th day on."""
+    number = F.substring("ticker", 2, 6).cast("int")
+    start = F.date_add(F.lit(MONTH_START).cast("date"), number % 20)
+    listing = s.universe().select("ticker", "sector", start.alias("valid_from"), F.lit(None).cast("date").alias("valid_to"))
+    return calendar.listed_days(listing, calendar.trading_days(s.spark, MONTH_START, MONTH_END, (HOLIDAY,)))
+
+
 @query()
 def dq_missing_tickers(s: Scope) -> DataFrame:
-    """Listed tickers without a tick in the first hours of today."""
-    return quality.missing_tickers(s.source.clean(TODAY), s.universe())
+    """Listed tickers without a tick, on every trading day of the month."""
+    return calendar.missing_by_day(s.source.clean(), _expected(s))
+
+
+@query()
+def ticker_coverage_calendar(s: Scope) -> DataFrame:
+    return calendar.coverage_by_day(s.source.clean(), _expected(s))
 
 
 def _all_checks(df: DataFrame) -> DataFrame:
@@ -510,7 +526,7 @@ def dq_report_top10(s: Scope) -> DataFrame:
 
 @query()
 def freshness(s: Scope) -> DataFrame:
-    return reports.freshness(s.source.clean(), AS_OF)
+    return reports.freshness(reports.recent_part(s.source.clean, AS_OF), AS_OF)
 
 
 @query()
@@ -572,7 +588,7 @@ def ticker_scd2(s: Scope) -> DataFrame:
 def dq_summary_trend(s: Scope) -> DataFrame:
     dated = s.source.raw().withColumn("date_id", F.to_date("timestamp"))
     checks = [
-        *quality.tick_checks(AS_OF, scope=F.lit(True))[:3],
+        *quality.tick_checks(AS_OF, scope=F.lit(True)),
         *quality.not_null_checks(("close", "volume")),
     ]
     return quality.daily_trend(quality.evaluate(dated, checks, ["date_id"]))
@@ -626,3 +642,56 @@ def dim_ticker_merged(s: Scope) -> DataFrame:
 @query()
 def agg_sector_hourly_merged(s: Scope) -> DataFrame:
     return s.loaded("agg_sector_hourly")("agg_sector_hourly")
+
+
+# --- feeds, versions, reconciliation -----------------------------------------
+
+
+@query()
+def route_versions(s: Scope) -> DataFrame:
+    """Messages of two known versions, an unknown one and another schema, counted by outcome."""
+    number = F.col("offset") % 7
+    header = lambda key, value: F.struct(F.lit(key).alias("key"), value.cast("binary").alias("value"))
+    version = F.when(number < 3, "1").when(number < 5, "2").otherwise("9")
+    name = F.when(F.col("offset") % 13 == 5, "other").otherwise(SCHEMA_NAME)
+    headers = F.array(header("schema_name", name), header("schema_version", version))
+    marked = s.source.messages().withColumn("headers", F.when(number > 0, headers))
+    contracts = {"1": TICK_JSON_V1, "2": T.StructType([*TICK_JSON_V1.fields, T.StructField("bid", T.DoubleType())])}
+    routed = parse_by_version(marked, contracts)
+    return routed.groupBy("schema_version", F.coalesce("reject_reason", F.lit("accepted")).alias("outcome")).agg(
+        F.count(F.lit(1)).alias("messages"), F.count("bid").alias("bids"), F.count("ticker").alias("tickers")
+    )
+
+
+@query()
+def silent_feeds(s: Scope) -> DataFrame:
+    """Feeds are the partitions of the topic; a fifth one is expected and never sends."""
+    expected = s.spark.range(5).select(F.concat(F.lit("ticks-"), F.col("id").cast("string")).alias("feed"))
+    named = s.source.messages().withColumn("feed", F.concat_ws("-", "topic", F.col("partition").cast("string")))
+    return extensions.silent_feeds(named, "received_ts", expected, AS_OF)
+
+
+@query()
+def layer_fingerprints(s: Scope) -> DataFrame:
+    """Ticks and staged ticks per day, over the columns that they share."""
+    text = F.concat_ws(
+        "|", "ticker", F.unix_timestamp("timestamp").cast("string"), F.coalesce(F.col("volume").cast("string"), F.lit(""))
+    )
+    value = F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("bigint")
+    layers = {"ticks": s.ticks(), "staged": s.staged()}
+    prints = [
+        reconcile.fingerprint(frame, [], F.to_date("timestamp"), value).select(F.lit(name).alias("layer"), "*")
+        for name, frame in layers.items()
+    ]
+    return prints[0].unionByName(prints[1]).withColumn("hash_sum", F.col("hash_sum").cast("string"))
+
+
+@query()
+def dq_key_integrity(s: Scope) -> DataFrame:
+    """All ticks with the keys of the first half of the month, against a dimension that lacks
+    the tickers first seen in its last twelve hours."""
+    tickers = models.dim_ticker(s.source.clean(until=FIRST_LOAD_UNTIL), AS_OF)
+    earlier = s.source.clean(until=SECOND_LOAD_FROM).select(F.col("ticker").alias("ticker_code")).distinct()
+    known = tickers.join(earlier, "ticker_code", "left_semi")
+    fact = models.fct_intraday_ticks(s.ticks(), tickers, models.dim_sector(tickers))
+    return reconcile.key_integrity(fact, known, "ticker_sk")

@@ -30,9 +30,13 @@ def to_messages(ticks: DataFrame) -> DataFrame:
     )
 
 
-def write_messages(messages: DataFrame, path: str) -> None:
-    """Append the messages to files, one per line; headers stay with a topic sink."""
-    messages.select("value").write.mode("append").text(path)
+def write_messages(messages: DataFrame, path: str, headers: bool = False) -> None:
+    """Append the messages to files: lines of text, or with ``headers`` Parquet rows of value
+    and headers, which ``sources.messages.stored_messages`` reads back."""
+    if headers:
+        messages.select("value", "headers").write.mode("append").parquet(path)
+    else:
+        messages.select("value").write.mode("append").text(path)
 
 
 def publish_messages(messages: DataFrame, servers: str, topic: str) -> None:

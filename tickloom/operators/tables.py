@@ -65,16 +65,54 @@ def create_table(
     path: str,
     partition_by: str | None = None,
     clustered_on: Sequence[str] = (),
+    bucket_by: str | None = None,
+    buckets: int = 0,
 ) -> None:
     """Register an empty table unless it exists; calling it again changes nothing.
 
-    Spark cannot combine day folders with bucketing-free clustering in the catalog, so
-    the cluster columns are recorded as a table property for the writers.
+    ``clustered_on`` is kept as a table property, by which ``write_to_table`` sorts. Tables
+    with the same number of ``buckets`` on a key join on it without an exchange. A bucket is
+    read by one task: for a key that holds much of a table, a counted and broadcast dimension
+    (see ``joins``) is the better plan.
     """
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
     partitioning = f"PARTITIONED BY (`{partition_by}`)" if partition_by else ""
+    bucketing = f"CLUSTERED BY (`{bucket_by}`) SORTED BY (`{bucket_by}`) INTO {int(buckets)} BUCKETS" if bucket_by else ""
     clustering = ", ".join(clustered_on)
     spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet {partitioning} "
+        f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet {partitioning} {bucketing} "
         f"LOCATION '{path}' TBLPROPERTIES ('cluster.columns' = '{clustering}')"
     )
+
+
+def write_to_table(df: DataFrame, name: str, replace: str = "all", days: Sequence = ()) -> None:
+    """Write ``df`` into a table of the catalog, which then shows exactly these rows.
+
+    ``replace``: ``all``; ``partitions`` for the partitions present in ``df`` and those in
+    ``days``, which are empty afterwards if ``df`` has no row for them; ``nothing`` to append.
+    The catalog keeps the partitions: readers list no folders.
+    """
+    spark = df.sparkSession
+    columns = spark.catalog.listColumns(name)
+    partition = next((c.name for c in columns if c.isPartition), None)
+    bucket = next((c.name for c in columns if c.isBucket), None)
+    stated = spark.sql(f"SHOW TBLPROPERTIES {name} ('cluster.columns')").first()["value"]
+    cluster = [c.strip() for c in stated.split(",") if c.strip()]
+    order = list(dict.fromkeys(c for c in (partition, bucket, *cluster) if c))
+    rows = df.select(*[c.name for c in columns])
+    if order:
+        dealt = [c for c in (partition, bucket) if c]
+        rows = (rows.hint("rebalance", *dealt) if dealt else rows.repartitionByRange(*order)).sortWithinPartitions(*order)
+    setting = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "dynamic" if replace == "partitions" else "static")
+    try:
+        gone = []
+        if replace == "partitions" and partition:
+            present = {row[0] for row in df.select(partition).distinct().collect()}  # one row per partition
+            gone = [day for day in days if day not in present]
+        rows.write.insertInto(name, overwrite=replace != "nothing")
+        for day in gone:
+            spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION (`{partition}` = '{day}')")
+    finally:
+        spark.conf.set(setting, before)

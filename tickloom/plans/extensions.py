@@ -197,18 +197,34 @@ def dead_letter_rate(
     )
 
 
-def silent_periods(messages: DataFrame, time: str, minutes: int = 10) -> DataFrame:
+def silent_periods(messages: DataFrame, time: str, minutes: int = 10, as_of: AsOf | None = None) -> DataFrame:
     """Gaps of more than ``minutes`` without a message.
 
     Messages are first reduced to the minutes that saw one, so the ordered pass runs
-    over clock minutes per topic, however many messages there are.
+    over clock minutes per topic, however many messages there are. With ``as_of`` the time
+    from the last message until then is a gap as well, with no ``next_minute``.
     """
     minute = F.date_trunc("minute", F.col(time))
-    active = messages.groupBy("topic", minute.alias("minute")).agg(F.lit(1).alias("_seen"))
-    previous = F.lag("minute").over(W.partitionBy("topic").orderBy("minute"))
-    gap = F.floor((F.unix_timestamp("minute") - F.unix_timestamp("last_minute")) / 60)
+    active = messages.groupBy("topic", minute.alias("last_minute")).agg(F.lit(1).alias("_seen"))
+    following = F.lead("last_minute").over(W.partitionBy("topic").orderBy("last_minute"))
+    end = F.col("next_minute") if as_of is None else F.coalesce("next_minute", F.date_trunc("minute", as_of.now))
+    gap = F.floor((F.unix_timestamp(end) - F.unix_timestamp("last_minute")) / 60)
     return (
-        active.withColumn("last_minute", previous)
-        .select("topic", "last_minute", F.col("minute").alias("next_minute"), gap.cast("bigint").alias("gap_minutes"))
+        active.withColumn("next_minute", following)
+        .select("topic", "last_minute", "next_minute", gap.cast("bigint").alias("gap_minutes"))
         .filter(F.col("gap_minutes") > minutes)
     )
+
+
+def silent_feeds(messages: DataFrame, time: str, expected: DataFrame, as_of: AsOf = AsOf(), minutes: int = 10) -> DataFrame:
+    """Every expected feed with its last message before ``as_of`` and whether it is silent now.
+
+    ``expected`` has one row per ``feed``; messages carry it in a column of that name. A feed
+    that never sent anything is silent. The batch twin of ``streaming.silence``.
+    """
+    past = messages.filter(F.col(time) <= as_of.now)
+    last = past.groupBy("feed").agg(F.max(time).alias("last_seen"))
+    seconds = F.unix_timestamp(as_of.now) - F.unix_timestamp("last_seen")
+    return expected.join(last, "feed", "left").select(
+        "feed", "last_seen", seconds.alias("silent_seconds"), F.coalesce(seconds > minutes * 60, F.lit(True)).alias("is_silent")
+    )

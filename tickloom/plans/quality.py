@@ -189,11 +189,11 @@ def universe_activity(ticks: DataFrame, universe: DataFrame) -> DataFrame:
 
 
 def ticker_coverage(ticks: DataFrame, universe: DataFrame) -> DataFrame:
-    """Listed tickers with and without data, per day."""
-    listed = ticks.join(universe.select("ticker"), "ticker", "left_semi")
-    daily = listed.groupBy(F.to_date("timestamp").alias("date_id")).agg(
-        F.count_distinct("ticker").alias("tickers_succeeded")
-    )
+    """Listed tickers with and without data, per day that has a tick of any ticker. Days without
+    one are in ``calendar.coverage_by_day``."""
+    listed = universe.select("ticker").distinct().withColumn("_listed", F.col("ticker"))
+    days = ticks.select(F.to_date("timestamp").alias("date_id"), "ticker").join(listed, "ticker", "left")
+    daily = days.groupBy("date_id").agg(F.count_distinct("_listed").alias("tickers_succeeded"))
     expected = universe.agg(F.count_distinct("ticker")).scalar()
     return daily.withColumn("tickers_failed", expected - F.col("tickers_succeeded"))
 

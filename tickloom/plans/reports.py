@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from collections.abc import Callable, Sequence
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tickloom.asof import AsOf
 from tickloom.functions import market_is_open, seconds_between
+from tickloom.operators import folders
 from tickloom.operators.rank import top_within
+from tickloom.sources.files import read_ticks
 
 # Age limits in seconds of the daily gate and of the alarm.
 GATE_SECONDS = 600
@@ -118,6 +122,34 @@ def table_size(ticks: DataFrame) -> DataFrame:
     return ticks.agg(F.count(F.lit(1)).alias("row_count"))
 
 
+def recent_part(
+    read: Callable[[str | None], DataFrame], as_of: AsOf = AsOf(), days: Sequence[int] = (1, 30)
+) -> DataFrame:
+    """The shortest stretch of history before ``as_of`` that holds its newest tick.
+
+    ``read(since)`` gives the ticks from an instant on and prunes by it. A day is looked at
+    first, more only if it is empty, so the newest tick costs no scan of the history.
+    """
+    spark = SparkSession.active()
+    for count in days:
+        since = str(spark.range(1).select(as_of.days_before_now(count).cast("timestamp_ntz")).first()[0])
+        part = read(since)
+        inside = F.col("timestamp").between(F.lit(since).cast("timestamp"), as_of.now)
+        if not part.filter(inside).isEmpty():
+            return part
+    return read(None)
+
+
+def newest_day(spark: SparkSession, path: str, as_of: AsOf = AsOf()) -> DataFrame:
+    """Rows of the last day folder of a stored tick table up to today: folder names tell which
+    one it is, and no other folder is opened."""
+    today = str(spark.range(1).select(as_of.today).first()[0])
+    stored = [name.partition("=")[2] for name in folders.names(spark, path) if name.startswith("date_id=")]
+    past = [day for day in stored if day <= today]
+    ticks = read_ticks(spark, path)
+    return ticks.filter(F.col("date_id") == F.lit(max(past)).cast("date")) if past else ticks.limit(0)
+
+
 def freshness(ticks: DataFrame, as_of: AsOf = AsOf()) -> DataFrame:
     """Age of the newest tick, the daily gate (today only) and the alarm."""
     seen = ticks.filter(F.col("timestamp") <= as_of.now)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 
 def topic_stream(
@@ -43,10 +43,17 @@ def file_messages(spark: SparkSession, path: str, topic: str = "ticks") -> DataF
     return _as_messages(spark.read.text(path), topic)
 
 
+def stored_messages(spark: SparkSession, path: str, topic: str = "ticks") -> DataFrame:
+    """Messages written with their headers, in the same shape."""
+    kind = "value STRING, headers ARRAY<STRUCT<key: STRING, value: BINARY>>"
+    rows = spark.read.schema(kind).parquet(path)
+    return rows.select(*_coordinates(topic), "headers")
+
+
 def _as_messages(lines: DataFrame, topic: str) -> DataFrame:
-    return lines.select(
-        "value",
-        F.lit(topic).alias("topic"),
-        F.lit(0).alias("partition"),
-        F.xxhash64("_metadata.file_path", "_metadata.file_block_start", "value").alias("offset"),
-    )
+    return lines.select(*_coordinates(topic))
+
+
+def _coordinates(topic: str) -> list[Column]:
+    place = F.xxhash64("_metadata.file_path", "_metadata.file_block_start", "value")
+    return [F.col("value"), F.lit(topic).alias("topic"), F.lit(0).alias("partition"), place.alias("offset")]

@@ -23,6 +23,7 @@ from tickloom.operators.parse import (
 from tickloom.plans.quality import price_logic
 from tickloom.schemas import TICK_COLUMNS
 from tickloom.sources.reference import SECTOR_TICKERS
+from tickloom.streaming.batches import BatchTable
 
 WATERMARK = "30 minutes"
 # Copies of one key are spread over this many tasks before they meet.
@@ -130,8 +131,35 @@ def start_flow(
         .trigger(**trigger)
         .start()
     )
-    options = dict(rejects_sink)
-    rejects = (
+    return ticks, _start_rejects(flow, rejects_sink, checkpoint_path, trigger)
+
+
+def start_packed_flow(
+    flow: Flow,
+    ticks: BatchTable,
+    rejects_sink: dict[str, str],
+    checkpoint_path: str,
+    trigger: dict | None = None,
+) -> tuple[StreamingQuery, StreamingQuery]:
+    """Like ``start_flow``, with the ticks in a table whose files are packed by day.
+
+    A batch overwrites what an earlier run of it left, so every accepted tick is stored once.
+    """
+    trigger = trigger or {"availableNow": True}
+    accepted = (
+        flow.ticks.writeStream.queryName("ticks")
+        .foreachBatch(ticks.write)
+        .option("checkpointLocation", f"{checkpoint_path}/ticks")
+        .outputMode("append")
+        .trigger(**trigger)
+        .start()
+    )
+    return accepted, _start_rejects(flow, rejects_sink, checkpoint_path, trigger)
+
+
+def _start_rejects(flow: Flow, sink: dict[str, str], checkpoint_path: str, trigger: dict) -> StreamingQuery:
+    options = dict(sink)
+    return (
         flow.rejects.writeStream.queryName("rejects")
         .format(options.pop("format"))
         .options(**options)
@@ -140,7 +168,6 @@ def start_flow(
         .trigger(**trigger)
         .start()
     )
-    return ticks, rejects
 
 
 def to_files(path: str) -> dict[str, str]:
