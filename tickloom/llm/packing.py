@@ -2,65 +2,42 @@
 
 from __future__ import annotations
 
-import json
 import zlib
-from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window as W, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from tickloom.llm.common import batches, stored
+from tickloom.llm.common import chunks, stored
+from tickloom.llm.tokens import BYTE_LEVEL, Rules, coder_of
 from tickloom.operators.keys import number_rows
 
 CAPACITY = 1024
 END = 2
-ROUNDS = 400
+# First price of a length l: (l / capacity) ** POWER. Above 1, so that of two full sequences the
+# one with the longer pieces, which fit fewer others, is priced higher.
+POWER = 1.2
+# How much the weights of lengths that are covered ahead of the others fall.
+RATE = 0.1
 PIECE = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 
 
-def byte_ranks(path: str) -> dict[bytes, int]:
-    """Vocabulary of a byte-level BPE file as ranks of byte strings.
-
-    The file writes each byte as a printable character: printable ones as themselves, the
-    rest as the characters from 256 on, in order.
-    """
-    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    other = [b for b in range(256) if b not in set(plain)]
-    byte = {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(other)}
-    with open(path, encoding="utf-8") as file:
-        data = json.load(file)
-    special = {token["content"] for token in data["added_tokens"]}
-    vocabulary = data["model"]["vocab"]
-    return {bytes(byte[c] for c in token): i for token, i in vocabulary.items() if token not in special}
-
-
-@lru_cache(maxsize=2)
-def coder_of(vocabulary: str, pattern: str):
-    """The tokenizer, built once in each worker process."""
-    import tiktoken
-
-    return tiktoken.Encoding("bpe", pat_str=pattern, mergeable_ranks=byte_ranks(vocabulary), special_tokens={})
-
-
-def pieces(documents: DataFrame, vocabulary: str, pattern: str, capacity: int = CAPACITY) -> DataFrame:
+def pieces(documents: DataFrame, vocabulary: str, rules: Rules = BYTE_LEVEL, capacity: int = CAPACITY) -> DataFrame:
     """Token ids of each whole text (null: empty) and the end id, cut if longer than
     ``capacity``; the first piece takes the remainder. One row per piece.
 
-    The ids are those that the tokenizers library gives for the same file (a test compares
-    them); tiktoken is used because it takes a third of the time.
+    The ids are those of the tokenizers library for the file, special tokens included. A row
+    with a null or repeated id gives its own pieces. Further columns are not read.
     """
 
     def cut(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = coder_of(vocabulary, pattern)
-        for batch in batches(source, 512):
+        coder = coder_of(vocabulary, rules)
+        for batch in chunks(source):
             rows = []
-            for name, text in zip(batch["doc_id"].to_pylist(), batch["text"].to_pylist()):
-                ids = np.array([*coder.encode_ordinary(text or ""), END], "<u4")
+            for name, ids in zip(batch["doc_id"].to_pylist(), coder.ids(batch["text"].to_pylist(), END)):
                 first = len(ids) % capacity or capacity
                 bounds = [0, *range(first, len(ids) + 1, capacity)]
                 for number, (a, b) in enumerate(zip(bounds, bounds[1:])):
@@ -75,29 +52,32 @@ def pieces(documents: DataFrame, vocabulary: str, pattern: str, capacity: int =
     return documents.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(cut, PIECE)
 
 
-def price(values: np.ndarray, limit: np.ndarray, capacity: int) -> tuple[float, Counter]:
-    """Best-valued set of lengths fitting the capacity (knapsack by dynamic programming)."""
+def price(values: np.ndarray, left: np.ndarray, capacity: int) -> Counter:
+    """Best-valued configuration: lengths that fit the capacity together, no length more often
+    than ``left`` has it. Knapsack by dynamic programming; copies of a length count as one,
+    two, four ... at a time."""
+    items = []
+    for length in np.flatnonzero(left > 0).tolist():
+        copies, times = int(min(left[length], capacity // length)), 1
+        while copies > 0:
+            items.append((length, min(times, copies)))
+            copies -= times
+            times *= 2
     best = np.zeros(capacity + 1)
-    chosen = np.zeros(capacity + 1, int)
-    lengths = np.flatnonzero((values > 0) & (limit > 0))
-    lengths = lengths[lengths > 0]
-    for room in range(1, capacity + 1):
-        fits = lengths[: np.searchsorted(lengths, room, "right")]
-        best[room] = best[room - 1]
-        if len(fits):
-            gains = best[room - fits] + values[fits]
-            at = int(gains.argmax())
-            if gains[at] > best[room] + 1e-15:
-                best[room], chosen[room] = gains[at], fits[at]
+    chosen = np.zeros((len(items), capacity + 1), bool)
+    for row, (length, times) in zip(chosen, items):
+        weight = length * times
+        with_it = best[: capacity + 1 - weight] + values[length] * times
+        np.greater(with_it, best[weight:] + 1e-12, out=row[weight:])
+        np.maximum(best[weight:], with_it, out=best[weight:], where=row[weight:])
     found: Counter = Counter()
     room = capacity
-    while room > 0:
-        if chosen[room] == 0 or best[room] == best[room - 1]:
-            room -= 1
-        else:
-            found[int(chosen[room])] += 1
-            room -= int(chosen[room])
-    return float(best[capacity]), found
+    for place in range(len(items) - 1, -1, -1):
+        if chosen[place, room]:
+            length, times = items[place]
+            found[length] += times
+            room -= length * times
+    return found
 
 
 def best_fit(counts: np.ndarray, capacity: int) -> list[tuple[int, dict[int, int]]]:
@@ -121,45 +101,35 @@ def best_fit(counts: np.ndarray, capacity: int) -> list[tuple[int, dict[int, int
     return plan
 
 
-def plan_sequences(histogram: np.ndarray, capacity: int = CAPACITY, rounds: int = ROUNDS) -> list[tuple[int, dict[int, int]]]:
+def plan_sequences(histogram: np.ndarray, capacity: int = CAPACITY) -> list[tuple[int, dict[int, int]]]:
     """(how often, {length: pieces}) of the sequences that hold every piece of the histogram.
 
-    The covering program over configurations is solved by multiplicative weights: each
-    round prices the best configuration under the lengths' weights and lowers the weights
-    of what it covers. The fractional counts are rounded down, the rest is packed best fit.
-    Works on one number per length, whatever the number of documents.
+    The covering program has a variable per configuration (a multiset of lengths that fits) and
+    a row per length. Multiplicative weights solve it: every round prices the best configuration
+    under the lengths' weights, raises its variable until the scarcest of its lengths is used up,
+    and the weights of lengths covered ahead of the others fall. The amount of a round is rounded
+    down to whole sequences at once (one at least) and what is left is priced on, so nothing is
+    covered twice and no rest remains for another method. Works on one number per length,
+    whatever the number of documents.
     """
-    demand = histogram.astype(np.int64).copy()
+    left = histogram.astype(np.int64).copy()
     plan: list[tuple[int, dict[int, int]]] = []
-    if demand[capacity]:
-        plan.append((int(demand[capacity]), {capacity: 1}))
-        demand[capacity] = 0
-    wanted = demand.astype(float)
+    if left[capacity]:
+        plan.append((int(left[capacity]), {capacity: 1}))
+        left[capacity] = 0
+    wanted = left.astype(float)
     lengths = np.arange(capacity + 1)
-    if wanted.sum():
-        weights = np.where(wanted > 0, lengths / capacity, 0.0)
-        used: Counter = Counter()
-        covered = np.zeros(capacity + 1)
-        for _ in range(rounds):
-            _, found = price(weights, wanted, capacity)
-            key = tuple(sorted(found.items()))
-            # As often as a hundredth of its scarcest length allows, at least once.
-            step = max(1.0, min(wanted[l] / n for l, n in key) / 4)
-            used[key] += step
-            for l, n in key:
-                covered[l] += n * step
-                weights[l] *= max(0.05, 1 - 0.7 * n * step / wanted[l])
-            if (covered >= wanted).all():
-                break
-        for key, times in used.most_common():
-            whole = min(int(times), *[int(demand[l] // n) for l, n in key])
-            if whole > 0:
-                plan.append((whole, dict(key)))
-                for l, n in key:
-                    demand[l] -= n * whole
-        plan += best_fit(demand, capacity)
-    plain = best_fit(histogram, capacity)
-    return min((plan, plain), key=lambda p: sum(times for times, _ in p))
+    start = (lengths / capacity) ** POWER
+    while left.any():
+        open_ = np.divide(left, wanted, out=np.zeros(capacity + 1), where=wanted > 0)
+        mean = (left * lengths).sum() / (wanted * lengths).sum()
+        weights = start * np.exp(RATE * np.clip(open_ / mean - 1, -5, 5))
+        found = price(weights, left, capacity)
+        times = max(1, min(int(left[l] // n) for l, n in found.items()))
+        for l, n in found.items():
+            left[l] -= n * times
+        plan.append((times, dict(found)))
+    return plan
 
 
 def placements(plan: list[tuple[int, dict[int, int]]]) -> dict[int, list[tuple[int, int, int, int]]]:
@@ -181,7 +151,8 @@ def pack(cut: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """Append ``sequence_id`` and ``offset`` to pieces with a ``length``.
 
     Pieces are numbered within their length over range partitions, so any number of pieces
-    may share a length. The driver sees the histogram, at most ``capacity`` rows.
+    may share a length; ids may be null or repeated. The driver sees the histogram, at most
+    ``capacity`` rows.
     """
     order = [F.col("length").asc(), F.col("doc_id").asc_nulls_last(), F.col("piece").asc()]
     numbered, _ = number_rows(cut, "_row", order)
@@ -191,22 +162,23 @@ def pack(cut: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     first = {row["length"]: row["first"] for row in rows}
     for row in rows:
         histogram[row["length"]] = row["n"]
-    places = placements(plan_sequences(histogram, capacity))
-    shared = cut.sparkSession.sparkContext.broadcast((first, places))
+    slots = {length: tuple(map(np.array, zip(*found))) for length, found in placements(plan_sequences(histogram, capacity)).items()}
+    shared = cut.sparkSession.sparkContext.broadcast((first, slots))
     names = cut.columns
 
     def place(source: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         starts, known = shared.value
         for frame in source:
-            sequences = np.zeros(len(frame), np.int64)
-            offsets = np.zeros(len(frame), np.int64)
-            for at, (length, row) in enumerate(zip(frame["length"], frame["_row"])):
-                number = row - starts[length]
-                options = known[length]
-                slot = bisect_left(options, (number + 1,)) - 1
-                begin, sequence, each, offset = options[slot]
-                sequences[at] = sequence + (number - begin) // each
-                offsets[at] = offset + length * ((number - begin) % each)
+            sequences, offsets = np.zeros(len(frame), np.int64), np.zeros(len(frame), np.int64)
+            lengths = frame["length"].to_numpy()
+            for length in np.unique(lengths).tolist():
+                at = np.flatnonzero(lengths == length)
+                number = frame["_row"].to_numpy()[at] - starts[length]
+                begins, firsts, each, offset = known[length]
+                slot = np.searchsorted(begins, number, "right") - 1
+                within = number - begins[slot]
+                sequences[at] = firsts[slot] + within // each[slot]
+                offsets[at] = offset[slot] + length * (within % each[slot])
             yield frame[names].assign(sequence_id=sequences, offset=offsets)
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in cut.schema)

@@ -64,7 +64,7 @@ def op8_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 def op9_pack(spark: SparkSession, folder: str) -> DataFrame:
     documents = read(spark, folder, "documents")
-    cut = packing.pieces(documents, public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN)
+    cut = packing.pieces(documents, public_tokenizers.path(VOCABULARY))
     return packing.pack(stored(cut))
 
 
