@@ -47,7 +47,7 @@ def to_target_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def into_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token pieces with their sequence and offset."""
-    cut = packing.pieces(docs, public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN)
+    cut = packing.pieces(docs, public_tokenizers.path(VOCABULARY))
     return packing.pack(stored(cut))
 
 
