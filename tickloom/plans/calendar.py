@@ -18,10 +18,9 @@ def listed_days(listing: DataFrame, days: DataFrame) -> DataFrame:
     of tickers. Periods are unfolded and met with the calendar by equality, so the size is that
     of the result; nothing is compared with everything.
     """
-    last = days.agg(F.max("date_id").alias("_last"))
-    bounded = listing.join(F.broadcast(last))  # one row
-    until = F.least(F.coalesce("valid_to", "_last"), F.col("_last"))
-    unfolded = bounded.filter(F.col("valid_from") <= until).select(
+    last = F.lit(days.agg(F.max("date_id")).first()[0]).cast("date")
+    until = F.least(F.coalesce("valid_to", last), last)
+    unfolded = listing.filter(F.col("valid_from") <= until).select(
         F.explode(F.sequence("valid_from", until)).alias("date_id"), "ticker", "sector"
     )
     return unfolded.join(days, "date_id", "left_semi")

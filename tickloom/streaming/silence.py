@@ -51,10 +51,10 @@ class SilenceWatch:
         latest = batch.groupBy("feed").agg(F.max("at").alias("at"))  # one row per feed
         known = before.select("feed", "last_seen", "since", "alarmed")
         listed = spark.createDataFrame([(name,) for name in self.expected], "feed STRING")
-        now = latest.agg(F.max("at").alias("now"))
+        now = F.lit(latest.agg(F.max("at")).first()[0]).cast("timestamp")
         names = known.select("feed").union(listed).union(latest.filter("feed IS NOT NULL").select("feed")).distinct()
         joined = names.join(known, "feed", "left").join(latest.select("feed", "at"), "feed", "left")
-        joined = joined.crossJoin(F.broadcast(now))  # a single row
+        joined = joined.withColumn("now", now)
         seen = F.greatest("last_seen", "at")
         heard = F.coalesce(F.col("at") > F.coalesce("last_seen", F.lit("1970-01-01").cast("timestamp")), F.lit(False))
         since = F.coalesce("since", "now")
