@@ -114,28 +114,46 @@ def known_texts() -> list[tuple[str, str]]:
     return found
 
 
-# Spellings that count as equal, (pattern, replacement), on lower-cased text.
+# Spellings that count as equal, (pattern, replacement), on canonical words.
 SPELLINGS = [
     ("licence", "license"),
-    ("sub-license", "sublicense"),
-    ("non-commercial", "noncommercial"),
+    ("sub license", "sublicense"),
+    ("non commercial", "noncommercial"),
     ("organisation", "organization"),
     ("authoris", "authoriz"),
     ("favour", "favor"),
     ("merchantibility", "merchantability"),
-    ("&", " and "),
 ]
-# A line that starts with a copyright mark is the holder's, not the license's.
-COPYRIGHT_LINE = r"(^|\n)[ \t]*(copyright|\(c\)|©)[^\n]*"
+# A holder's line: copyright marks and a year, or both marks and a name, to the end of a short
+# line, behind comment marks. Terms that start a line with "copyright" or "(c)" are none, nor are
+# the marks of the known texts themselves.
+_MARK = r"(?:(?:copyright|\(c\)|©|&copy;)[ \t:]*)+"
+_OWN = r"(?![\d,\s-]*(?:free\b|<?year\b|19yy|\[?yyyy|the\s+regents))"
+HOLDER_LINE = (
+    r"(^|\n)[^a-z0-9\n(©&]*(?:" + _MARK + _OWN + r"[\[<(]?\d{4}\b"
+    r"|copyright[ \t]*(?:\(c\)|©|&copy;)" + _OWN + r"[ \t]*[^\n \t])[^\n]{0,120}(?=\n|$)"
+)
+# The marks that are part of known texts, on canonical words: they are dropped wherever a text is
+# wrapped, in the middle of a line as well.
+OWN_MARKS = (
+    r"copyright c (?:[0-9]{4} )+free software foundation inc(?: https? fsf org)?"
+    r"|copyright c (?:year your name|(?:19yy|year) name of author|the regents of the university of california)"
+    r"|copyright yyyy name of copyright owner"
+)
+# Words of which every known text and notice holds one; lines without are not looked up.
+TELLING = r"(?i)licen|permission|redistribution|public domain"
 
 
 def canonical(text: Column) -> Column:
-    """Lower case (A-Z), without copyright lines, in one spelling, letters and digits only."""
+    """Lower case (A-Z), without holders' lines, words of letters and digits only, in one
+    spelling: the same for every wrapping, indentation and comment style of a text."""
     value = F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    value = F.regexp_replace(value, COPYRIGHT_LINE, "$1")
+    value = F.regexp_replace(value, HOLDER_LINE, "$1")
+    value = F.replace(value, F.lit("&"), F.lit(" and "))
+    value = F.regexp_replace(value, r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+", " ")
     for spelling, chosen in SPELLINGS:
         value = F.replace(value, F.lit(spelling), F.lit(chosen))
-    return F.trim(F.regexp_replace(value, r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+", " "))
+    return F.trim(F.regexp_replace(F.regexp_replace(value, OWN_MARKS, " "), " +", " "))
 
 
 def known_digests(spark: SparkSession, texts: list[tuple[str, str]] | None = None) -> DataFrame:
@@ -156,8 +174,26 @@ def scan(units: DataFrame, text: str, known: DataFrame) -> DataFrame:
     return digested.join(known, "digest", "left")
 
 
-def lines_of(documents: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """``doc_id, line``: each line of each text, to be scanned as an entire notice."""
-    return documents.select(
-        F.col(doc_id).alias("doc_id"), F.explode(F.split(F.col(text), "\n")).alias("line")
+def report(documents: DataFrame, known: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """Per row ``doc_id, digest, license_id, n_notices, notices``: the license that the entire
+    text is, how many of its lines are notices, and their licenses, sorted, joined by commas.
+
+    Rows are told apart by their place in the table, so null and repeated ids keep their own
+    notices. Null texts have no digest, no license and no notice. One pass: lines that hold a
+    telling word leave their row as digests, meet the known ones and are counted per row.
+    Further columns are not read. An empty table gives no rows.
+    """
+    lines = F.filter(F.split(F.col(text), "\n"), lambda line: line.rlike(TELLING))
+    rows = documents.select(
+        F.monotonically_increasing_id().alias("_row"),
+        F.col(doc_id).alias("doc_id"),
+        F.sha2(canonical(F.col(text)), 256).alias("digest"),
+        F.transform(lines, lambda line: F.sha2(canonical(line), 256)).alias("_lines"),
+    )
+    unfolded = rows.select("_row", "doc_id", "digest", F.explode_outer("_lines").alias("_line"))
+    whole = known.select("digest", "license_id")
+    notices = known.select(F.col("digest").alias("_line"), F.col("license_id").alias("_notice"))
+    found = unfolded.join(notices, "_line", "left").groupBy("_row", "doc_id", "digest").agg(
+        F.count("_notice").alias("n_notices"), F.array_join(F.array_sort(F.collect_set("_notice")), ",").alias("notices")
     )
+    return found.join(whole, "digest", "left").select("doc_id", "digest", "license_id", "n_notices", "notices")

@@ -16,16 +16,8 @@ WORD_END = 1
 
 def op1_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     """Whole-text license of every document and the licenses of its notice lines."""
-    documents = read(spark, folder, "documents")
     known = F.broadcast(licenses.known_digests(spark))  # one row per text of a fixed list
-    whole = licenses.scan(documents.select("doc_id", "text"), "text", known)
-    lines_found = licenses.scan(licenses.lines_of(documents, "doc_id", "text"), "line", known).filter("license_id IS NOT NULL")
-    per = lines_found.groupBy("doc_id").agg(
-        F.count("*").alias("n_notices"), F.array_join(F.array_sort(F.collect_set("license_id")), ",").alias("notices")
-    )
-    return whole.join(per, "doc_id", "left").select(
-        "doc_id", "digest", "license_id", F.coalesce("n_notices", F.lit(0)).cast("bigint").alias("n_notices"), F.coalesce("notices", F.lit("")).alias("notices")
-    )
+    return licenses.report(read(spark, folder, "documents"), known)
 
 
 def op2_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
