@@ -141,7 +141,7 @@ OWN_MARKS = (
     r"|copyright yyyy name of copyright owner"
 )
 # Words of which every known text and notice holds one; lines without are not looked up.
-TELLING = r"(?i)licen|permission|redistribution|public domain"
+TELLING = r"(?i)licen|permission|redistribution|public domain|released|distributed"
 
 
 def canonical(text: Column) -> Column:
