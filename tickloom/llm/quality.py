@@ -6,7 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tickloom.llm.common import WORD, stored
+from tickloom.llm.common import stored
 
 # Common words of each reference language.
 COMMON = {
@@ -15,15 +15,16 @@ COMMON = {
     "es": "de la que el en y los se del las un por con una es para".split(),
     "fr": "de la le et les des en un une que est dans pour qui par sur".split(),
 }
-# Character classes, as bodies of regular-expression brackets.
+# Character classes, each as its characters; no character is in two.
 CLASSES = {
-    "lower": "a-z",
-    "upper": "A-Z",
-    "digit": "0-9",
-    "space": r"\x20\x09-\x0D",
-    "stop": ".,;:!?'\"()\\-",
-    "sign": "#*$%&|<>@=+_/\\\\\\[\\]{}~^`",
+    "lower": "abcdefghijklmnopqrstuvwxyz",
+    "upper": "ABCDEFGHIJKLMNOPQRSTUVWXYZ",
+    "space": " \t\n\x0b\x0c\r",
+    "stop": ".,;:!?'\"()-",
+    "digit": "0123456789",
+    "sign": "#*$%&|<>@=+_/\\[]{}~^`",
 }
+SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 50
 MIN_REFERENCE_WORDS = 100
 # Set on the labelled documents of sf0.1 that pass the base rules: good ones have 0.159 and
@@ -69,7 +70,7 @@ def measured(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", l
     base = documents.select(F.col(doc_id).alias("doc_id"), F.col(lang).alias("lang"), value.alias("text"))
     # The generator makes Spark split each text once for all the columns that use it.
     split = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
-    lines = F.filter(F.split("text", "\n"), lambda x: x.rlike(WORD))
+    lines = F.filter(F.split("text", "\n"), lambda x: F.trim(x, F.lit(CLASSES["space"])) != "")
     frame = base.select("*", F.explode(F.array(F.struct(split.alias("words"), lines.alias("lines")))).alias("p"))
     frame = frame.select("doc_id", "lang", "text", "p.words", "p.lines")
     frame = frame.select("*", F.explode(F.array(_repeat_words(F.col("words")))).alias("grams"))
@@ -81,23 +82,35 @@ def measured(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", l
         F.lit(0),
         lambda a, b: a + b,
     )
-    plain = F.transform("words", lambda w: F.regexp_replace(F.lower(w), r"[.,;:!?]+$", ""))
     common = sorted({w for chosen in COMMON.values() for w in chosen})
-    known = F.filter(plain, lambda w: w.isin(common))
+    bare = F.transform("words", lambda w: F.rtrim(w, F.lit(".,;:!?")))
+    plain = F.transform(F.filter(bare, lambda w: F.length(w) <= max(map(len, common))), F.lower)
+    # Each common word as one letter of a short string, in which it is counted.
+    listed = F.array(*[F.lit(w) for w in common])
+    known = F.transform(F.filter(plain, lambda w: w.isin(common)), lambda w: F.char(F.array_position(listed, w) + 32))
+    frame = frame.select("*", F.explode(F.array(F.array_join(known, ""))).alias("known"))
+    # Characters of a class are those that go with it; each class is looked for in what is left.
+    rest, counted = "text", []
+    for name, members in CLASSES.items():
+        left = F.translate(rest, members, "")
+        frame = frame.select("*", F.explode(F.array(left)).alias(f"without_{name}"))
+        counted.append((F.length(rest) - F.length(f"without_{name}")).alias(f"c_{name}"))
+        rest = f"without_{name}"
+    symbols = F.length("without_digit") - F.length(F.translate("without_digit", SYMBOLS, ""))
     frame = frame.select(
-        "*", F.explode(F.array(F.array_join(known, " "))).alias("known")
-    ).select(
         "doc_id", "lang",
         F.size("words").cast("bigint").alias("n_words"),
-        F.length(F.array_join("words", "")).cast("bigint").alias("word_chars"),
-        F.regexp_count("text", F.lit("[#*$%&|<>]")).cast("bigint").alias("n_symbols"),
+        # What is no white space is in a word.
+        (F.length("text") - F.length("without_upper") + F.length("without_space")).cast("bigint").alias("word_chars"),
+        symbols.cast("bigint").alias("n_symbols"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("bigint").alias("n_dup_lines"),
         F.coalesce(covered, F.lit(0)).cast("bigint").alias("n_repeat_words"),
         F.length("text").alias("n_chars"),
-        *[F.regexp_count("text", F.lit(f"[{body}]")).alias(f"c_{name}") for name, body in CLASSES.items()],
-        F.concat(F.lit(" "), F.replace("known", F.lit(" "), F.lit("  ")), F.lit(" ")).alias("known"),
+        *counted,
+        "known",
     )
-    counts = [F.regexp_count("known", F.lit(f" {w} ")).alias(f"k_{w}") for w in common]
+    without = [F.replace("known", F.lit(chr(33 + i)), F.lit("")) for i in range(len(common))]
+    counts = [(F.length("known") - F.length(rest)).alias(f"k_{w}") for w, rest in zip(common, without)]
     return frame.select("*", *counts).drop("known")
 
 
