@@ -116,7 +116,7 @@ def test_similar_sets_share_a_signature(share):
         chosen = everything[rng.random(len(everything)) < share]
         cells[(chosen >> np.uint64(42)).astype(np.int64)] = rng.integers(100, 200, len(chosen))
         need = -(-75 * (len(base) + len(other)) // 175)
-        one, two = (dict(zip(*(v.tolist() for v in signatures))) for signatures in (ngrams.signatures(x, counts, 100, 75) for x in (base, other)))
+        one, two = ({t: min(k, rare) for k, t in enumerate(found.tolist())} for found, rare in (ngrams.signatures(x, counts, 100, 75) for x in (base, other)))
         assert any(1 + min(len(base) - 1 - one[t], len(other) - 1 - two[t]) >= need for t in one.keys() & two.keys())
 
 

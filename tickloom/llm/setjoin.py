@@ -11,10 +11,12 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from tickloom.llm.common import mixed, stored
+from tickloom.llm.common import discard, mixed, stored
 
 CELLS = 1 << 22
 CHUNK = 1 << 16
+# Bytes of the bitmap of repeated signatures: 16 bits a signature, within these bounds.
+BITMAP = (1 << 16, 1 << 25)
 FREQUENT = 1 << 17
 
 
@@ -83,6 +85,62 @@ def token_counts(rows: DataFrame, blocks: Callable[[Iterator[pa.RecordBatch]], I
 _CHUNKS = pa.schema([("chunk", pa.int32()), ("part", pa.int32()), ("body", pa.binary())])
 
 
+@dataclass
+class Repeated:
+    """Signatures that occur at least twice, as a bitmap: others pass too, none is missed."""
+
+    bits: np.ndarray
+
+    def among(self, signatures: np.ndarray) -> np.ndarray:
+        """True where a signature may occur twice."""
+        byte, bit = _cells(signatures, len(self.bits))
+        return (self.bits[byte] >> bit) & 1 != 0
+
+
+def _cells(signatures: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    cell = mixed(signatures.view(np.uint64)) & np.uint64(8 * size - 1)
+    return (cell >> np.uint64(3)).astype(np.int64), (cell & np.uint64(7)).astype(np.uint8)
+
+
+def repeated(signatures: DataFrame) -> Repeated:
+    """Filter of the values of column ``sig`` that stand in several rows.
+
+    Most signatures stand in one row and meet nobody: the filter keeps them out of the
+    joins. Its size follows the number of repeated ones up to 32 MB; in a table too large
+    for that it lets more pass, and the joins that follow drop them.
+    """
+    twice = stored(signatures.groupBy("sig").agg(F.count("*").alias("c")).filter("c > 1").select("sig"))
+    wanted = 2 * twice.count()
+    size = min(max(BITMAP[0], 1 << wanted.bit_length()), BITMAP[1])
+    kind = "chunk int, part int, body binary"
+
+    def mark(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.zeros(size, np.uint8)
+        for batch in source:
+            byte, bit = _cells(batch["sig"].to_numpy(), size)
+            np.bitwise_or.at(bits, byte, np.uint8(1) << bit)
+        task = TaskContext.get().partitionId()
+        for chunk in range(size // CHUNK):
+            part = bits[chunk * CHUNK : (chunk + 1) * CHUNK]
+            if part.any():
+                yield pa.RecordBatch.from_pylist([{"chunk": chunk, "part": task % 64, "body": zlib.compress(part.tobytes(), 1)}], _CHUNKS)
+
+    def merge(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, number = np.zeros(CHUNK, np.uint8), 0
+        for batch in frames:
+            for number, body in zip(batch["chunk"].to_pylist(), batch["body"].to_pylist()):
+                total |= np.frombuffer(zlib.decompress(body), np.uint8)
+        yield pa.RecordBatch.from_pylist([{"chunk": number, "part": 0, "body": zlib.compress(total.tobytes(), 1)}], _CHUNKS)
+
+    merged = stored(twice.mapInArrow(mark, kind).groupBy("chunk", "part").applyInArrow(merge, kind).groupBy("chunk").applyInArrow(merge, kind))
+    bits = np.zeros(size, np.uint8)
+    for row in merged.toLocalIterator():  # at most 512 rows
+        bits[row["chunk"] * CHUNK : (row["chunk"] + 1) * CHUNK] = np.frombuffer(zlib.decompress(row["body"]), np.uint8)
+    discard(twice)
+    discard(merged)
+    return Repeated(bits)
+
+
 def overlaps(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose sets have 100 * intersection >= percent * union."""
     one = sets.select(F.col("rid").alias("a"), F.col("tokens").alias("of_a"))
@@ -100,7 +158,7 @@ def components(links: DataFrame) -> DataFrame:
     """
     around = stored(links.select("a", "b").union(links.select("b", "a")).filter("a <> b").distinct())
     labels = around.groupBy("a").agg(F.min("b").alias("m"))
-    labels = stored(labels.select(F.col("a").alias("node"), F.least("a", "m").alias("component")))
+    labels = labels_of = stored(labels.select(F.col("a").alias("node"), F.least("a", "m").alias("component")))
     while True:
         near = around.join(labels.select(F.col("node").alias("b"), "component"), "b").groupBy("a").agg(F.min("component").alias("m"))
         met = labels.join(near.withColumnRenamed("a", "node"), "node").select("node", "component", F.least("component", "m").alias("next"))
@@ -108,6 +166,10 @@ def components(links: DataFrame) -> DataFrame:
         jump = met.select(F.col("node").alias("next"), F.col("next").alias("further"))
         after = stored(met.join(jump, "next").select("node", "component", F.least("next", "further").alias("next")))
         changed = after.filter("next < component").limit(1).count()
+        discard(met)
+        discard(labels_of)
+        labels_of = after
         labels = after.select("node", F.col("next").alias("component"))
         if not changed:
+            discard(around)
             return labels
