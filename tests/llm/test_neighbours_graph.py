@@ -50,3 +50,12 @@ def test_other_lengths_huge_components_and_other_columns(spark):
     got = neighbours.nearest_neighbours(frame).collect()
     assert {r["query_id"] for r in got} == {r["vec_id"] for r in got} == {0, 20, 40, 60, 80}
     assert len(got) == 20
+
+
+def test_unusable_single_and_equal_vectors(spark):
+    near = lambda rows: neighbours.nearest_neighbours(spark.createDataFrame(rows, "vec_id bigint, embedding array<float>"))
+    assert near([(0, None), (20, [0.0, 0.0]), (None, [1.0, 2.0])]).count() == 0
+    assert near([(20, [1.0, 2.0])]).count() == 0
+    got = near([(i, [1.0, 2.0]) for i in range(41)]).collect()
+    for query in (0, 20, 40):
+        assert sorted((r["rank"], r["vec_id"]) for r in got if r["query_id"] == query) == list(enumerate([i for i in range(41) if i != query][:20], 1))
