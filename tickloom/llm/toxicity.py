@@ -32,6 +32,8 @@ SURPRISE = 20.0
 BEGINNINGS = (4, 5, 6)
 MIN_DOCUMENTS = 5
 BLOCK = 1000
+# Ranges that the hashes of ids are counted in: 2 ** RANGE_BITS.
+RANGE_BITS = 12
 
 
 @dataclass
@@ -82,6 +84,24 @@ def train(x: np.ndarray, y: np.ndarray, change: np.ndarray, penalty: float, ridg
     return weights[:width], float(weights[width])
 
 
+def chosen(labelled: DataFrame, most: int) -> DataFrame:
+    """The ``most`` rows with the smallest hash of their id.
+
+    The hashes are counted in ranges first. Only rows up to the range that holds the last
+    one wanted are moved and sorted, however many have a label.
+    """
+    place = F.xxhash64("doc_id")
+    part = F.shiftright(place, 64 - RANGE_BITS)
+    total, last = 0, None
+    for row in labelled.groupBy(part.alias("part")).agg(F.count("*").alias("n")).orderBy("part").collect():
+        total, last = total + row["n"], row["part"]
+        if total >= most:
+            break
+    if total >= most and last is not None:
+        labelled = labelled.filter(part <= last)
+    return labelled.orderBy(place, "doc_id", "text").limit(most)
+
+
 def fit(
     labelled: DataFrame,
     max_labelled: int = MAX_LABELLED,
@@ -96,7 +116,7 @@ def fit(
     terms. One class only, or no rows: a constant score.
     """
     usable = labelled.filter("toxic IS NOT NULL AND text IS NOT NULL")
-    chosen = usable.orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(max_labelled)
+    taken = chosen(usable, max_labelled)
 
     def read(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches(source):
@@ -109,8 +129,7 @@ def fit(
                 [batch["toxic"].cast(pa.int32()), pa.array(found, kind), pa.array(others, kind)], ["toxic", "words", "others"]
             )
 
-    # Only ids decide which rows are taken; texts are joined back instead of sorted.
-    sample = stored(chosen.select("toxic", "text").repartition(32).mapInArrow(read, "toxic int, words array<string>, others array<string>"))
+    sample = stored(taken.select("toxic", "text").repartition(32).mapInArrow(read, "toxic int, words array<string>, others array<string>"))
     totals = {row["toxic"]: row["n"] for row in sample.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     bad, good = totals.get(1, 0), totals.get(0, 0)
     if not bad or not good:
