@@ -3,6 +3,9 @@
 import random
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
+
 from tickloom.llm import lines
 
 
@@ -48,3 +51,32 @@ def test_clean_text_without_id_keeps_its_lines(spark):
     rows = [(1, "one two three four five"), (None, "one two three four five\nsix seven eight"), (None, "a clean first line\nnine ten eleven")]
     got = {r["text"] for r in lines.dedup(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
     assert got == {"one two three four five", "six seven eight", "a clean first line\nnine ten eleven"}
+
+
+def test_matching_sets_share_a_run_of_their_prefixes():
+    rng = random.Random(11)
+    for percent in (60, 70, 75, 80, 90):
+        for _ in range(3000):
+            size = rng.choice([1, 2, 3, 4, 5, 6, 7, 8, 9, rng.randint(10, 60)])
+            pool = rng.sample(range(1 << 31), 2 * size + 4)
+            one = set(pool[:size])
+            two = set(rng.sample(sorted(one), size - rng.randint(0, size * (100 - percent) // 100))) | set(pool[size : size + rng.randint(0, size // 3 + 1)])
+            if one == two or 100 * len(one & two) < percent * len(one | two):
+                continue
+            sizes = np.array([len(one), len(two)])
+            kept = [sorted(s)[:n] for s, n in zip((one, two), lines.prefix_sizes(sizes, percent))]
+            sigs, at = lines.runs(pa.array(kept, pa.list_(pa.int32())), percent)
+            assert set(sigs[at == 0]) & set(sigs[at == 1])
+
+
+def test_lines_meet_under_few_signatures(spark, monkeypatch):
+    # Lines of frequent words, no two alike: single words would let all of them meet.
+    rng = random.Random(3)
+    rows = [(i, "\n".join(" ".join(f"w{rng.randrange(1000)}" for _ in range(20)) for _ in range(4))) for i in range(100)]
+    rows.append((200, rows[7][1]))
+    tables = []
+    monkeypatch.setattr(lines, "stored", lambda df, keep=lines.stored: tables.append(keep(df)) or tables[-1])
+    monkeypatch.setattr(lines, "discard", lambda table: None)
+    got = lines.dedup(spark.createDataFrame(rows, "doc_id bigint, text string")).select("doc_id", "text").collect()
+    assert Counter(map(tuple, got)) == Counter(expected(rows))
+    assert max(table.count() for table in tables if "sig" in table.columns) < 400

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from tickloom.llm.common import batches, chunks, discard, hashed_words, mixed, stored
-from tickloom.llm.setjoin import overlaps, token_counts
+from tickloom.llm.setjoin import overlaps, repeated, token_counts
 
 PERCENT = 80
 # Rows without an id come after the largest one: their line numbers start where no text's end.
@@ -18,8 +18,9 @@ NO_ID = (1 << 63) - 1
 NO_ID_LINES = 1 << 31
 # A line: order of its document, its number, and what tells apart texts under one id.
 RID = "rid struct<doc:bigint,line:bigint,key:bigint>"
-# Ids of documents, 8 bytes each, that a task gets whole at most; more are shuffled.
+# Ids of documents, and numbers of their lines, that a task gets whole at most; more are shuffled.
 BROADCAST_IDS = 200_000
+BROADCAST_LINES = 1_000_000
 SLICES = 2
 # 64-bit words of the sketch that decides which pairs are verified.
 WIDE = 16
@@ -64,24 +65,63 @@ def earlier(one: str, two: str) -> str:
     return f"({one}.doc < {two}.doc OR {one}.doc = {two}.doc AND {one}.line < {two}.line)"
 
 
-def keyed(documents: DataFrame, doc_id: str, text: str) -> DataFrame:
+def keyed(documents: DataFrame, doc_id: str, text: str) -> tuple[DataFrame, bool]:
     """Append ``_doc, _first, _key``: rows agree in all of them if they have the same id and text.
 
-    The key is a digest of the text where an id may stand for several texts, else 0.
+    The key is a digest of the text where an id may stand for several texts, else 0. Also
+    returned: whether an id, or none, stands in several rows.
     """
     none = F.col(doc_id).isNull()
     digest = F.xxhash64(F.col(text), none)
-    ids = documents.filter(~none).select(F.col(doc_id).alias("i"), digest.alias("k"))
-    several = ids.groupBy("i").agg(F.min("k").alias("a"), F.max("k").alias("b")).filter("a < b").limit(1).count()
-    return documents.withColumns({
+    ids = documents.select(F.col(doc_id).alias("i"), digest.alias("k"))
+    ids = ids.groupBy("i").agg(F.min("k").alias("a"), F.max("k").alias("b"), F.count("*").alias("n"))
+    several, again = ids.agg(F.max(F.expr("i IS NOT NULL AND a < b")), F.max(F.col("n") > 1)).first()
+    own = documents.withColumns({
         "_doc": F.coalesce(F.col(doc_id).cast("bigint"), F.lit(NO_ID)),
         "_first": F.when(none, F.lit(NO_ID_LINES)).otherwise(F.lit(0)).cast("bigint"),
         "_key": digest if several else F.when(none, digest).otherwise(F.lit(0)).cast("bigint"),
     })
+    return own, bool(again)
 
 
-def matches(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """``rid`` of the lines of ``doc, first, key, text`` that match an earlier one. See ``dedup``."""
+def run_length(percent: int) -> int:
+    """Consecutive tokens that matching sets share in their prefixes, see ``prefix_sizes``.
+
+    Below 70 percent small sets need not share two; a single one is shared at every threshold.
+    """
+    return 2 if percent >= 70 else 1
+
+
+def prefix_sizes(sizes: np.ndarray, percent: int) -> np.ndarray:
+    """How many of a set's tokens, rarest first, hold a run that matching sets share.
+
+    Let a set of n tokens match one that lacks a of them and has b others: a is at most
+    (1 - t) * n - t * b. A token that the other set lacks is in k runs of k consecutive
+    tokens, one that only the other has comes between the tokens of k - 1. For t of
+    (k - 1) / k or more that spoils at most k * a + (k - 1) * b <= k * (1 - t) * n runs; the
+    prefix has one more. The first run that is left is the same for both sets. A set that is
+    too small to match a larger one has no prefix: only equal sets match.
+    """
+    run = run_length(percent)
+    return np.where(100 * sizes >= percent * (sizes + 1), run * sizes * (100 - percent) // 100 + run, 0)
+
+
+def runs(tokens: pa.ListArray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Signatures of the runs of consecutive tokens in the prefix of each set, and its number."""
+    values = tokens.flatten().to_numpy().view(np.uint32).astype(np.uint64)
+    counts = np.diff(tokens.offsets.to_numpy())
+    at = np.repeat(np.arange(len(counts)), counts)
+    if run_length(percent) == 1:
+        return values.view(np.int64), at
+    within = at[1:] == at[:-1]
+    return ((values[:-1] << np.uint64(32)) | values[1:])[within].view(np.int64), at[1:][within]
+
+
+def matches(documents: DataFrame, percent: int = PERCENT, again: bool = True) -> DataFrame:
+    """``rid`` of the lines of ``doc, first, key, text`` that match an earlier one. See ``dedup``.
+
+    ``again``: rows may repeat a document and its key.
+    """
 
     def blocks(source: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
         for batch in chunks(source):
@@ -105,61 +145,73 @@ def matches(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
             count = counts.of(hashes)
             # Rarest first; the sort is stable, so equally rare ones stay in the order of their hash.
             order = np.argsort((of.astype(np.uint64) << np.uint64(32)) | count, kind="stable")
-            # A set that is too small to match a larger one has no prefix: only equal sets match.
-            length = np.where(100 * sizes >= percent * (sizes + 1), sizes * (100 - percent) // 100 + 1, 0)
+            length = prefix_sizes(sizes, percent)
             place = np.arange(len(of)) - np.repeat(begin, sizes)
             # A token seen once in all texts is in no other line.
             used = (place < np.repeat(length, sizes)) & (count[order] > 1)
-            kept = np.bincount(of[used], minlength=len(at))
+            kept = np.append(0, np.cumsum(np.bincount(of[used], minlength=len(at))))
+            # Half of a token's hash: tokens that agree in it only let more lines meet.
+            prefix = pa.array((hashes[order][used] >> np.uint64(32)).astype(np.uint32).view(np.int32))
             yield pa.RecordBatch.from_arrays(
                 [
                     rids(batch["doc"], numbers, batch["key"], at), pa.array(sizes, pa.int32()),
                     pa.array(sums[0].view(np.int64)), pa.array(sums[1].view(np.int64)), pa.array(sketch.view(np.int64)),
-                    lists(hashes[order][used], kept), lists(place[used], kept),
+                    pa.ListArray.from_arrays(pa.array(kept, pa.int32()), prefix),
                 ],
-                ["rid", "n", "d1", "d2", "sketch", "prefix", "places"],
+                ["rid", "n", "d1", "d2", "sketch", "prefix"],
             )
 
-    kind = f"{RID}, n int, d1 bigint, d2 bigint, sketch bigint, prefix array<bigint>, places array<bigint>"
+    kind = f"{RID}, n int, d1 bigint, d2 bigint, sketch bigint, prefix array<int>"
     rows = stored(documents.mapInArrow(sign, kind))
     # One row per set: its first line is indexed.
-    set_of = F.min_by(F.struct("n", "sketch", "prefix", "places"), "rid").alias("s")
+    set_of = F.min_by(F.struct("n", "sketch", "prefix"), "rid").alias("s")
     reps = stored(rows.groupBy("d1", "d2").agg(F.min("rid").alias("rid"), F.count("*").alias("copies"), set_of))
-    repeated = reps.filter("copies > 1").select("d1", "d2", F.col("rid").alias("first"))
-    again = stored(rows.select("rid", "d1", "d2").join(repeated, ["d1", "d2"]).filter("rid <> first").select("rid", "first"))
+    multiple = reps.filter("copies > 1").select("d1", "d2", F.col("rid").alias("first"))
+    again = stored(rows.select("rid", "d1", "d2").join(multiple, ["d1", "d2"]).filter("rid <> first").select("rid", "first"))
     copies = again.filter(earlier("first", "rid")).select("rid")
     # As early as the first one, under the same id: these go if the first one does.
     twins = again.filter(f"NOT {earlier('first', 'rid')}")
     discard(rows)
-    zipped = F.explode(F.arrays_zip("s.prefix", "s.places")).alias("t")
-    index = reps.select("rid", "s.n", "s.sketch", zipped).select(
-        F.col("t.prefix").alias("sig"), "rid", F.expr("n * 4294967296 + t.places").alias("np"), "sketch"
-    )
-    # Length filter, the overlap still possible from these positions on, and no more
-    # different bits of the sketches than tokens that may differ.
+
+    def all_runs(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches(source):
+            yield pa.RecordBatch.from_arrays([pa.array(runs(batch["prefix"], percent)[0])], ["sig"])
+
+    # Most runs stand in one set and meet nobody: they are not moved.
+    several = documents.sparkSession.sparkContext.broadcast(repeated(reps.select("s.prefix").mapInArrow(all_runs, "sig bigint")))
+
+    def shared_runs(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = several.value
+        for batch in batches(source):
+            sigs, at = runs(batch["prefix"], percent)
+            kept = known.among(sigs)
+            rows_of = pa.array(at[kept], pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(sigs[kept]), *[batch[c].take(rows_of) for c in ("rid", "n", "sketch")]], ["sig", "rid", "n", "sketch"])
+
+    index = stored(reps.select("rid", "s.n", "s.sketch", "s.prefix").mapInArrow(shared_runs, f"sig bigint, {RID}, n int, sketch bigint"))
+    discard(reps)
+    # Length filter, and no more different bits of the sketches than tokens that may differ.
     fits = (
         f"100 * least(n, n_a) >= {percent} * greatest(n, n_a) AND "
-        f"{100 + percent} * least(n - pos, n_a - pos_a) >= {percent} * (n + n_a) AND "
         f"{100 + percent} * bit_count(sketch ^ sketch_a) <= {100 - percent} * (n + n_a)"
     )
-    split = {f"{kind}{side}": F.expr(f"cast({value} as int)") for side in ("", "_a") for kind, value in (("n", f"shiftright(np{side}, 32)"), ("pos", f"np{side} & 4294967295"))}
 
-    def shared_tokens(part: DataFrame) -> DataFrame:
-        """The rows under a token of several lines; ``pair``: with a line of the first document, where it fits."""
-        of = {"lead_line": "rid.line", "lead_key": "rid.key", "np_a": "np", "sketch_a": "sketch"}
+    def shared_by(part: DataFrame) -> DataFrame:
+        """The rows under a run of several lines; ``pair``: with a line of the first document, where it fits."""
+        of = {"lead_line": "rid.line", "lead_key": "rid.key", "n_a": "n", "sketch_a": "sketch"}
         leaders = part.groupBy("sig").agg(
             F.min("rid.doc").alias("lead_doc"), F.count("*").alias("c"), *[F.min_by(v, "rid.doc").alias(k) for k, v in of.items()]
         ).filter("c > 1")
         leaders = leaders.withColumn("lead", F.struct(F.col("lead_doc").alias("doc"), F.col("lead_line").alias("line"), F.col("lead_key").alias("key")))
-        met = part.join(leaders, "sig").withColumns(split)
+        met = part.join(leaders, "sig")
         pair = f"CASE WHEN NOT ({fits}) THEN NULL WHEN {earlier('lead', 'rid')} THEN struct(lead AS a, rid AS b) WHEN {earlier('rid', 'lead')} THEN struct(rid AS a, lead AS b) END"
-        met = met.select("sig", "rid", "n", "pos", "sketch", "c", F.expr(pair).alias("pair"))
+        met = met.select("sig", "rid", "n", "sketch", "c", F.expr(pair).alias("pair"))
         # A group of two has no more pairs than that with its leader.
         return met.filter("c > 2 OR pair IS NOT NULL")
 
-    # Tokens are dealt with in slices, one after the other: shuffle files of one slice at a time.
-    slices = [stored(shared_tokens(index.filter(F.expr(f"pmod(sig, {SLICES}) = {k}")))) for k in range(SLICES)]
-    discard(reps)
+    # Runs are dealt with in slices, one after the other: shuffle files of one slice at a time.
+    slices = [stored(shared_by(index.filter(F.expr(f"pmod(sig, {SLICES}) = {k}")))) for k in range(SLICES)]
+    discard(index)
 
     def sets(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(source):
@@ -176,30 +228,35 @@ def matches(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
         ids = pairs.select(F.col("a").alias("rid")).union(pairs.select("b")).distinct()
         number = F.expr(f"cast(rid.line % {NO_ID_LINES} as int)")
         numbers = stored(ids.groupBy(F.col("rid.doc").alias("doc"), F.col("rid.key").alias("key")).agg(F.collect_list(number).alias("numbers")))
-        texts = documents
-        if numbers.count() <= BROADCAST_IDS:
-            texts = texts.join(F.broadcast(numbers.select("doc", "key")), ["doc", "key"], "left_semi")
-        found = texts.join(numbers, ["doc", "key"]).mapInArrow(sets, f"{RID}, tokens array<bigint>, wide array<bigint>")
-        found = stored(found.dropDuplicates(["rid"]))
+        size = numbers.agg(F.count("*").alias("ids"), F.coalesce(F.sum(F.size("numbers")), F.lit(0)).alias("lines")).first()
+        few = size["ids"] <= BROADCAST_IDS and size["lines"] <= BROADCAST_LINES
+        found = documents.join(F.broadcast(numbers) if few else numbers, ["doc", "key"]).mapInArrow(sets, f"{RID}, tokens array<bigint>, wide array<bigint>")
+        found = stored(found.dropDuplicates(["rid"]) if again else found)
         # Wide sketches first: token sets are only moved for pairs that these let pass.
         one = found.select(F.col("rid").alias("a"), F.size("tokens").alias("n_a"), F.col("wide").alias("wide_a"))
         two = found.select(F.col("rid").alias("b"), F.size("tokens").alias("n"), "wide")
         apart = "aggregate(zip_with(wide, wide_a, (x, y) -> bit_count(x ^ y)), 0, (s, x) -> s + x)"
         likely = pairs.join(one, "a").join(two, "b").filter(f"{100 + percent} * {apart} <= {100 - percent} * (n + n_a)")
-        return overlaps(stored(likely.select("a", "b")), found.select("rid", "tokens"), percent)
+        alike = stored(overlaps(stored(likely.select("a", "b")), found.select("rid", "tokens"), percent))
+        discard(found)
+        return alike
 
     led = [part.filter("pair IS NOT NULL").select("pair.a", "pair.b") for part in slices]
     first_pairs = stored(reduce(DataFrame.union, led).distinct())
     gone = stored(matching(first_pairs).select(F.col("b").alias("rid")).distinct())
 
+    few_gone = gone.count() <= BROADCAST_IDS
+
     def all_pairs(part: DataFrame) -> DataFrame:
-        part = part.filter("c > 2").select("sig", "rid", "n", "pos", "sketch")
-        rest = part.join(gone, "rid", "left_anti").withColumnRenamed("rid", "b")
-        others = part.select("sig", F.col("rid").alias("a"), *[F.col(x).alias(f"{x}_a") for x in ("n", "pos", "sketch")])
+        part = part.filter("c > 2").select("sig", "rid", "n", "sketch")
+        rest = part.join(F.broadcast(gone) if few_gone else gone, "rid", "left_anti").withColumnRenamed("rid", "b")
+        others = part.select("sig", F.col("rid").alias("a"), *[F.col(x).alias(f"{x}_a") for x in ("n", "sketch")])
         return rest.join(others, "sig").filter(earlier("a", "b")).filter(fits).select("a", "b").distinct()
 
-    # Lines not settled by the leaders meet every earlier line under their tokens.
+    # Lines not settled by the leaders meet every earlier line under their runs.
     pairs = reduce(DataFrame.union, [stored(all_pairs(part)) for part in slices]).distinct()
+    for part in slices:
+        discard(part)
     pairs = stored(pairs.join(first_pairs, ["a", "b"], "left_anti"))
     more = matching(pairs).select(F.col("b").alias("rid")).distinct()
     met = stored(gone.union(more))
@@ -215,9 +272,9 @@ def dedup(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", perc
     texts under one id are documents of their own, as are those without an id, which come
     last; between these only the line number decides which line is earlier.
     """
-    rows = keyed(documents, doc_id, text)
+    rows, again = keyed(documents, doc_id, text)
     own = rows.select(F.col("_doc").alias("doc"), F.col("_first").alias("first"), F.col("_key").alias("key"), F.col(text).alias("text"))
-    removed = matches(own, percent)
+    removed = matches(own, percent, again)
     numbers = removed.groupBy(F.col("rid.doc").alias("_doc"), F.col("rid.key").alias("_key")).agg(
         F.collect_set(F.expr(f"cast(rid.line % {NO_ID_LINES} as int)")).alias("_gone")
     )
