@@ -80,3 +80,39 @@ def test_lines_meet_under_few_signatures(spark, monkeypatch):
     got = lines.dedup(spark.createDataFrame(rows, "doc_id bigint, text string")).select("doc_id", "text").collect()
     assert Counter(map(tuple, got)) == Counter(expected(rows))
     assert max(table.count() for table in tables if "sig" in table.columns) < 400
+
+
+def test_sets_with_rare_and_frequent_tokens_share_a_run():
+    rng = random.Random(12)
+    for percent in (50, 60, 70, 75, 80, 90):
+        for _ in range(1500):
+            size = rng.choice([1, 2, 3, 4, 5, 6, 7, 8, 9, rng.randint(10, 60)])
+            pool = rng.sample(range(1 << 31), 2 * size + 4)
+            one = set(pool[:size])
+            two = set(rng.sample(sorted(one), size - rng.randint(0, size * (100 - percent) // 100))) | set(pool[size : size + rng.randint(0, size // 3 + 1)])
+            if one == two or 100 * len(one & two) < percent * len(one | two):
+                continue
+            rare = {x: rng.choice([99, 70, 40, 20, 4, 0]) for x in pool}
+            rare |= {x: 100 for x in one ^ two if rng.random() < 0.2}  # seen once
+            sets = [sorted(s, key=lambda x: (-rare[x], x)) for s in (one, two)]
+            sizes = np.array([len(s) for s in sets])
+            kept, lengths = lines.rare_runs(np.array([rare[x] for s in sets for x in s], np.uint8), sizes, percent, 100, rng.choice([60, 132, 250]))
+            ends = pa.array(np.append(0, np.cumsum(np.bincount(np.repeat([0, 1], sizes)[kept], minlength=2))), pa.int32())
+            tokens = np.array(sets[0] + sets[1], np.int32)[kept]
+            sigs, at = lines.runs(pa.ListArray.from_arrays(ends, pa.array(tokens)), percent, pa.ListArray.from_arrays(ends, pa.array(lengths[kept])))
+            assert set(sigs[at == 0]) & set(sigs[at == 1])
+
+
+def test_lines_around_one_passage_are_not_listed_by_pairs(spark, monkeypatch):
+    # All share a passage, none match: pairs of them would grow with the square of the group.
+    rng = random.Random(8)
+    passage = [f"p{k}" for k in range(14)]
+    rows = [(i, " ".join(passage + [f"w{rng.randrange(10**6)}" for _ in range(4 + i % 3)])) for i in range(120)]
+    rows.append((500, rows[60][1] + " more"))
+    tables = []
+    monkeypatch.setattr(lines, "stored", lambda df, keep=lines.stored: tables.append(keep(df)) or tables[-1])
+    monkeypatch.setattr(lines, "discard", lambda table: None)
+    got = lines.dedup(spark.createDataFrame(rows, "doc_id bigint, text string")).select("doc_id", "text").collect()
+    assert Counter(map(tuple, got)) == Counter(expected(rows))
+    pairs = [t.count() for t in tables if {"a", "b"} <= set(t.columns)]
+    assert sum(pairs) < len(rows)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import reduce
 
 import numpy as np
@@ -10,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from tickloom.llm.common import batches, chunks, discard, hashed_words, mixed, stored
-from tickloom.llm.setjoin import overlaps, repeated, token_counts
+from tickloom.llm.setjoin import TokenCounts, overlaps, repeated, token_counts
 
 PERCENT = 80
 # Rows without an id come after the largest one: their line numbers start where no text's end.
@@ -22,8 +23,11 @@ RID = "rid struct<doc:bigint,line:bigint,key:bigint>"
 BROADCAST_IDS = 200_000
 BROADCAST_LINES = 1_000_000
 SLICES = 2
-# 64-bit words of the sketch that decides which pairs are verified.
-WIDE = 16
+# 64-bit words of a set's sketch.
+SKETCH = ("s0", "s1", "s2", "s3")
+# Tokens of a run at most, and how many bits rarer than one of all tokens a shorter one has to be.
+RUN = 4
+MARGIN = 8
 
 
 def line_words(texts: list[str | None], wanted: list[list[int]] | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -106,31 +110,103 @@ def prefix_sizes(sizes: np.ndarray, percent: int) -> np.ndarray:
     return np.where(100 * sizes >= percent * (sizes + 1), run * sizes * (100 - percent) // 100 + run, 0)
 
 
-def runs(tokens: pa.ListArray, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """Signatures of the runs of consecutive tokens in the prefix of each set, and its number."""
+def longest_run(percent: int) -> int:
+    """Runs of up to k tokens are told apart from a set's edits if (k - 1) / k <= t and 1 / k > 1 - t."""
+    return max(1, min(RUN, 99 // max(1, 100 - percent)))
+
+
+@dataclass
+class Rarity:
+    """Quarter bits by which a token is rarer than all tokens together, for every counter cell."""
+
+    cells: np.ndarray
+    once: int
+    needed: int
+
+    def of(self, tokens: np.ndarray) -> np.ndarray:
+        return TokenCounts.of(self, tokens)
+
+
+def rarity(counts: TokenCounts) -> Rarity:
+    total = max(2, int(counts.cells.sum(dtype=np.int64)))
+    bits = np.round(4 * np.log2(total / np.maximum(counts.cells, 1).astype(np.float64))).clip(0, 255).astype(np.uint8)
+    once = int(np.round(4 * np.log2(total)).clip(0, 255))
+    return Rarity(bits, once, once + 4 * MARGIN)
+
+
+def rare_runs(rare: np.ndarray, sizes: np.ndarray, percent: int, once: int, needed: int) -> tuple[np.ndarray, np.ndarray]:
+    """Which tokens of the sets are kept, and the length of the run that starts at each, or 0.
+
+    ``rare``: quarter bits of all tokens of one set after the other, rarest first. A run is as
+    long as its tokens need to add up to ``needed``, at most ``longest_run``; beyond a set's end
+    stand tokens that every set has. So lengths never fall within a set, and a token that the
+    other set lacks spoils runs whose 1 / length add up to 1 at most: j of them reach it from
+    j - 1 tokens before or nearer, each at least j long. One that only the other has spoils
+    (j - 1) / j at most, which is no more than t. Let a and b be their numbers: a + t * b is at
+    most (1 - t) * n, so runs whose 1 / length add up to more hold one that matching sets share,
+    and the first shared one is the same for both. A token seen once is in no other set: it
+    spends one of a, and no run holds it.
+    """
+    place = np.arange(len(rare))
+    begin = np.cumsum(sizes) - sizes
+    end = np.repeat(begin + sizes, sizes)
+    upto = np.append(0, np.cumsum(rare, dtype=np.int64))
+    lengths = np.ones(len(rare), np.int8)
+    for k in range(1, longest_run(percent)):
+        lengths += upto[np.minimum(place + k, end)] - upto[place] < needed
+    alone = rare >= once
+    # 12 times 1 / length, of the runs before this one.
+    parts = np.where(alone, 0, 12 // lengths)
+    spoilt = np.append(0, np.cumsum(parts))[:-1]
+    lost = np.append(0, np.cumsum(alone))
+    limit = 12 * ((100 - percent) * sizes - 100 * (lost[begin + sizes] - lost[begin]))
+    limit[prefix_sizes(sizes, percent) == 0] = -1
+    starts = ~alone & (100 * (spoilt - np.repeat(spoilt[begin], sizes)) <= np.repeat(limit, sizes))
+    stop = np.zeros(len(sizes), np.int64)
+    np.maximum.at(stop, np.repeat(np.arange(len(sizes)), sizes)[starts], (place + lengths)[starts])
+    return ~alone & (place < np.repeat(stop, sizes)), np.where(starts, lengths, 0).astype(np.int8)
+
+
+def runs(tokens: pa.ListArray, percent: int, lengths: pa.ListArray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Signatures of runs of consecutive tokens of each set, and its number.
+
+    ``lengths``: of the run that starts at each token, 0 for none; one that reaches beyond the
+    set's end is told from others by how far. Without them all runs of ``run_length`` within
+    the sets.
+    """
     values = tokens.flatten().to_numpy().view(np.uint32).astype(np.uint64)
     counts = np.diff(tokens.offsets.to_numpy())
     at = np.repeat(np.arange(len(counts)), counts)
-    if run_length(percent) == 1:
-        return values.view(np.int64), at
-    within = at[1:] == at[:-1]
-    return ((values[:-1] << np.uint64(32)) | values[1:])[within].view(np.int64), at[1:][within]
-
-
-def matches(documents: DataFrame, percent: int = PERCENT, again: bool = True) -> DataFrame:
+    end = np.repeat(np.cumsum(counts), counts)
+    if lengths is None:
+        size = np.where(np.arange(len(values)) + run_length(percent) <= end, run_length(percent), 0)
+    else:
+        size = lengths.flatten().to_numpy()
+    starts = np.flatnonzero(size)
+    size, end = size[starts], end[starts]
+    sigs = np.zeros(len(starts), np.uint64)
+    for k in range(int(size.max(initial=0))):
+        inside = starts + k < end
+        token = np.where(inside, values[np.minimum(starts + k, len(values) - 1)], np.uint64(1 << 32))
+        sigs = np.where(size > k, mixed((sigs << np.uint64(1)) ^ (sigs >> np.uint64(63)) ^ token), sigs)
+    return sigs.view(np.int64), at[starts]
+
+
+def matches(documents: DataFrame, percent: int = PERCENT, again_rows: bool = True) -> DataFrame:
     """``rid`` of the lines of ``doc, first, key, text`` that match an earlier one. See ``dedup``.
 
-    ``again``: rows may repeat a document and its key.
+    ``again_rows``: rows may repeat a document and its key.
     """
 
     def blocks(source: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
         for batch in chunks(source):
             yield hashed_words("\n".join(text or "" for text in batch["text"].to_pylist()).encode())[1]
 
-    shared = documents.sparkSession.sparkContext.broadcast(token_counts(documents.select("text"), blocks))
+    context = documents.sparkSession.sparkContext
+    shared = context.broadcast(rarity(token_counts(documents.select("text"), blocks)))
 
     def sign(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = shared.value
+        known = shared.value
         for batch in chunks(source):
             at, numbers, hashes, of = line_words(batch["text"].to_pylist())
             numbers = numbers + batch["first"].to_numpy(zero_copy_only=False)[at]
@@ -138,74 +214,93 @@ def matches(documents: DataFrame, percent: int = PERCENT, again: bool = True) ->
             begin = np.cumsum(sizes) - sizes
             scrambled = mixed(hashes)
             # A set's digest: two sums over its scrambled tokens, whatever their order. Its
-            # sketch: 64 bits, each the parity of the tokens that fall on it.
+            # sketch: 256 bits, each the parity of the tokens that fall on it.
             sums = [np.add.reduceat(mixed(scrambled ^ np.uint64(k)), begin) if len(begin) else scrambled for k in (1, 2)]
-            bits = np.uint64(1) << (scrambled >> np.uint64(58))
-            sketch = np.bitwise_xor.reduceat(bits, begin) if len(begin) else bits
-            count = counts.of(hashes)
+            bits, word = np.uint64(1) << (scrambled >> np.uint64(58)), scrambled & np.uint64(len(SKETCH) - 1)
+            sketch = [np.bitwise_xor.reduceat(np.where(word == k, bits, 0), begin) if len(begin) else bits for k in range(len(SKETCH))]
+            rare = known.of(hashes)
             # Rarest first; the sort is stable, so equally rare ones stay in the order of their hash.
-            order = np.argsort((of.astype(np.uint64) << np.uint64(32)) | count, kind="stable")
-            length = prefix_sizes(sizes, percent)
-            place = np.arange(len(of)) - np.repeat(begin, sizes)
-            # A token seen once in all texts is in no other line.
-            used = (place < np.repeat(length, sizes)) & (count[order] > 1)
-            kept = np.append(0, np.cumsum(np.bincount(of[used], minlength=len(at))))
+            order = np.argsort((of.astype(np.uint64) << np.uint64(8)) | (255 - rare), kind="stable")
+            used, length = rare_runs(rare[order], sizes, percent, known.once, known.needed)
+            kept = pa.array(np.append(0, np.cumsum(np.bincount(of[used], minlength=len(at)))), pa.int32())
             # Half of a token's hash: tokens that agree in it only let more lines meet.
             prefix = pa.array((hashes[order][used] >> np.uint64(32)).astype(np.uint32).view(np.int32))
             yield pa.RecordBatch.from_arrays(
                 [
                     rids(batch["doc"], numbers, batch["key"], at), pa.array(sizes, pa.int32()),
-                    pa.array(sums[0].view(np.int64)), pa.array(sums[1].view(np.int64)), pa.array(sketch.view(np.int64)),
-                    pa.ListArray.from_arrays(pa.array(kept, pa.int32()), prefix),
+                    *[pa.array(x.view(np.int64)) for x in (*sums, *sketch)],
+                    pa.ListArray.from_arrays(kept, prefix), pa.ListArray.from_arrays(kept, pa.array(length[used])),
                 ],
-                ["rid", "n", "d1", "d2", "sketch", "prefix"],
+                ["rid", "n", "d1", "d2", *SKETCH, "prefix", "lengths"],
             )
 
-    kind = f"{RID}, n int, d1 bigint, d2 bigint, sketch bigint, prefix array<int>"
+    sketches = ", ".join(f"{k} bigint" for k in SKETCH)
+    kind = f"{RID}, n int, d1 bigint, d2 bigint, {sketches}, prefix array<int>, lengths array<tinyint>"
     rows = stored(documents.mapInArrow(sign, kind))
-    # One row per set: its first line is indexed.
-    set_of = F.min_by(F.struct("n", "sketch", "prefix"), "rid").alias("s")
-    reps = stored(rows.groupBy("d1", "d2").agg(F.min("rid").alias("rid"), F.count("*").alias("copies"), set_of))
-    multiple = reps.filter("copies > 1").select("d1", "d2", F.col("rid").alias("first"))
-    again = stored(rows.select("rid", "d1", "d2").join(multiple, ["d1", "d2"]).filter("rid <> first").select("rid", "first"))
+    # One row per set: its first line is indexed. Most sets stand in one line and are not moved.
+    twice = context.broadcast(repeated(rows.select(F.col("d1").alias("sig"))))
+
+    def maybe_equal(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in source:
+            yield batch.filter(pa.array(twice.value.among(batch["d1"].to_numpy())))
+
+    def others_too(columns: list[str]) -> DataFrame:
+        part = rows.select("d1", "d2", "rid", *columns)
+        return part.mapInArrow(maybe_equal, part.schema)
+
+    content = ["n", *SKETCH, "prefix", "lengths"]
+    firsts = others_too(content).groupBy("d1", "d2")
+    firsts = stored(firsts.agg(F.min("rid").alias("rid"), F.count("*").alias("copies"), F.min_by(F.struct(*content), "rid").alias("s")))
+    multiple = firsts.filter("copies > 1").select("d1", "d2", F.col("rid").alias("first"))
+    again = stored(others_too([]).join(multiple, ["d1", "d2"]).filter("rid <> first").select("rid", "first"))
     copies = again.filter(earlier("first", "rid")).select("rid")
     # As early as the first one, under the same id: these go if the first one does.
     twins = again.filter(f"NOT {earlier('first', 'rid')}")
-    discard(rows)
 
-    def all_runs(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def reps(columns: list[str]) -> DataFrame:
+        whole = rows.select("d1", F.lit(False).alias("taken"), *columns)
+        return whole.union(firsts.select("d1", F.lit(True), *[c if c == "rid" else f"s.{c}" for c in columns]))
+
+    def of_sets(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches(source):
-            yield pa.RecordBatch.from_arrays([pa.array(runs(batch["prefix"], percent)[0])], ["sig"])
+            first = batch["taken"].to_numpy(zero_copy_only=False) | ~twice.value.among(batch["d1"].to_numpy())
+            yield batch.filter(pa.array(first))
+
+    def all_runs(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in of_sets(source):
+            yield pa.RecordBatch.from_arrays([pa.array(runs(batch["prefix"], percent, batch["lengths"])[0])], ["sig"])
 
     # Most runs stand in one set and meet nobody: they are not moved.
-    several = documents.sparkSession.sparkContext.broadcast(repeated(reps.select("s.prefix").mapInArrow(all_runs, "sig bigint")))
+    several = context.broadcast(repeated(reps(["prefix", "lengths"]).mapInArrow(all_runs, "sig bigint")))
 
     def shared_runs(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = several.value
-        for batch in batches(source):
-            sigs, at = runs(batch["prefix"], percent)
+        for batch in of_sets(source):
+            sigs, at = runs(batch["prefix"], percent, batch["lengths"])
             kept = known.among(sigs)
             rows_of = pa.array(at[kept], pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(sigs[kept]), *[batch[c].take(rows_of) for c in ("rid", "n", "sketch")]], ["sig", "rid", "n", "sketch"])
+            columns = ["rid", "n", *SKETCH]
+            yield pa.RecordBatch.from_arrays([pa.array(sigs[kept]), *[batch[c].take(rows_of) for c in columns]], ["sig", *columns])
 
-    index = stored(reps.select("rid", "s.n", "s.sketch", "s.prefix").mapInArrow(shared_runs, f"sig bigint, {RID}, n int, sketch bigint"))
-    discard(reps)
+    index = stored(reps(["rid", *content]).mapInArrow(shared_runs, f"sig bigint, {RID}, n int, {sketches}"))
+    discard(rows)
+    discard(firsts)
     # Length filter, and no more different bits of the sketches than tokens that may differ.
     fits = (
         f"100 * least(n, n_a) >= {percent} * greatest(n, n_a) AND "
-        f"{100 + percent} * bit_count(sketch ^ sketch_a) <= {100 - percent} * (n + n_a)"
+        f"{100 + percent} * ({' + '.join(f'bit_count({k} ^ {k}_a)' for k in SKETCH)}) <= {100 - percent} * (n + n_a)"
     )
 
     def shared_by(part: DataFrame) -> DataFrame:
         """The rows under a run of several lines; ``pair``: with a line of the first document, where it fits."""
-        of = {"lead_line": "rid.line", "lead_key": "rid.key", "n_a": "n", "sketch_a": "sketch"}
+        of = {"lead_line": "rid.line", "lead_key": "rid.key", "n_a": "n", **{f"{k}_a": k for k in SKETCH}}
         leaders = part.groupBy("sig").agg(
             F.min("rid.doc").alias("lead_doc"), F.count("*").alias("c"), *[F.min_by(v, "rid.doc").alias(k) for k, v in of.items()]
         ).filter("c > 1")
         leaders = leaders.withColumn("lead", F.struct(F.col("lead_doc").alias("doc"), F.col("lead_line").alias("line"), F.col("lead_key").alias("key")))
         met = part.join(leaders, "sig")
         pair = f"CASE WHEN NOT ({fits}) THEN NULL WHEN {earlier('lead', 'rid')} THEN struct(lead AS a, rid AS b) WHEN {earlier('rid', 'lead')} THEN struct(rid AS a, lead AS b) END"
-        met = met.select("sig", "rid", "n", "sketch", "c", F.expr(pair).alias("pair"))
+        met = met.select("sig", "rid", "n", *SKETCH, "c", F.expr(pair).alias("pair"))
         # A group of two has no more pairs than that with its leader.
         return met.filter("c > 2 OR pair IS NOT NULL")
 
@@ -217,48 +312,48 @@ def matches(documents: DataFrame, percent: int = PERCENT, again: bool = True) ->
         for batch in chunks(source):
             at, numbers, hashes, of = line_words(batch["text"].to_pylist(), batch["numbers"].to_pylist())
             lines_of = rids(batch["doc"], numbers + batch["first"].to_numpy(zero_copy_only=False)[at], batch["key"], at)
-            scrambled = mixed(hashes)
-            wide = np.zeros((len(at), WIDE), np.uint64)
-            cell = (scrambled >> np.uint64(6)) % np.uint64(WIDE)
-            np.bitwise_xor.at(wide, (of, cell.astype(np.int64)), np.uint64(1) << (scrambled & np.uint64(63)))
-            kept = [lists(hashes, np.bincount(of, minlength=len(at))), lists(wide.ravel(), np.full(len(at), WIDE))]
-            yield pa.RecordBatch.from_arrays([lines_of, *kept], ["rid", "tokens", "wide"])
-
-    def matching(pairs: DataFrame) -> DataFrame:
-        ids = pairs.select(F.col("a").alias("rid")).union(pairs.select("b")).distinct()
+            yield pa.RecordBatch.from_arrays([lines_of, lists(hashes, np.bincount(of, minlength=len(at)))], ["rid", "tokens"])
+
+    def tokens_of(ids: DataFrame) -> DataFrame:
         number = F.expr(f"cast(rid.line % {NO_ID_LINES} as int)")
-        numbers = stored(ids.groupBy(F.col("rid.doc").alias("doc"), F.col("rid.key").alias("key")).agg(F.collect_list(number).alias("numbers")))
+        numbers = ids.groupBy(F.col("rid.doc").alias("doc"), F.col("rid.key").alias("key"))
+        numbers = stored(numbers.agg(F.collect_set(number).alias("numbers")))
         size = numbers.agg(F.count("*").alias("ids"), F.coalesce(F.sum(F.size("numbers")), F.lit(0)).alias("lines")).first()
         few = size["ids"] <= BROADCAST_IDS and size["lines"] <= BROADCAST_LINES
-        found = documents.join(F.broadcast(numbers) if few else numbers, ["doc", "key"]).mapInArrow(sets, f"{RID}, tokens array<bigint>, wide array<bigint>")
-        found = stored(found.dropDuplicates(["rid"]) if again else found)
-        # Wide sketches first: token sets are only moved for pairs that these let pass.
-        one = found.select(F.col("rid").alias("a"), F.size("tokens").alias("n_a"), F.col("wide").alias("wide_a"))
-        two = found.select(F.col("rid").alias("b"), F.size("tokens").alias("n"), "wide")
-        apart = "aggregate(zip_with(wide, wide_a, (x, y) -> bit_count(x ^ y)), 0, (s, x) -> s + x)"
-        likely = pairs.join(one, "a").join(two, "b").filter(f"{100 + percent} * {apart} <= {100 - percent} * (n + n_a)")
-        alike = stored(overlaps(stored(likely.select("a", "b")), found.select("rid", "tokens"), percent))
-        discard(found)
-        return alike
+        found = documents.join(F.broadcast(numbers) if few else numbers, ["doc", "key"]).mapInArrow(sets, f"{RID}, tokens array<bigint>")
+        return stored(found.dropDuplicates(["rid"]) if again_rows else found)
 
     led = [part.filter("pair IS NOT NULL").select("pair.a", "pair.b") for part in slices]
     first_pairs = stored(reduce(DataFrame.union, led).distinct())
-    gone = stored(matching(first_pairs).select(F.col("b").alias("rid")).distinct())
-
+    found = tokens_of(first_pairs.select(F.col("a").alias("rid")).union(first_pairs.select("b")))
+    gone = stored(overlaps(first_pairs, found, percent).select(F.col("b").alias("rid")).distinct())
+    discard(found)
     few_gone = gone.count() <= BROADCAST_IDS
 
-    def all_pairs(part: DataFrame) -> DataFrame:
-        part = part.filter("c > 2").select("sig", "rid", "n", "sketch")
-        rest = part.join(F.broadcast(gone) if few_gone else gone, "rid", "left_anti").withColumnRenamed("rid", "b")
-        others = part.select("sig", F.col("rid").alias("a"), *[F.col(x).alias(f"{x}_a") for x in ("n", "sketch")])
-        return rest.join(others, "sig").filter(earlier("a", "b")).filter(fits).select("a", "b").distinct()
+    # Lines not settled by the leaders look for any earlier line under their runs. Nothing is
+    # listed by pairs: lines that a sketch lets meet another are kept, then those with a match.
+    groups = [part.filter("c > 2").select("sig", "rid", "n", *SKETCH) for part in slices]
+
+    def named(part: DataFrame, end: str) -> DataFrame:
+        return part.select(*[F.col(x).alias("sig" if x == "sig" else x + end) for x in part.columns])
+
+    def meeting(part: DataFrame, others: DataFrame, ahead: str, behind: str, condition: str = fits) -> DataFrame:
+        """The rows of ``part`` that meet one of ``others`` under a run."""
+        one, two = part.alias("p"), named(others, "_a").alias("o")
+        return one.join(two, F.expr(f"p.sig = o.sig AND {earlier(ahead, behind)} AND {condition}"), "left_semi")
+
+    def open_ones(part: DataFrame) -> DataFrame:
+        rest = part.join(F.broadcast(gone) if few_gone else gone, "rid", "left_anti").select(*part.columns)
+        return meeting(rest, part, "rid_a", "rid")
 
-    # Lines not settled by the leaders meet every earlier line under their runs.
-    pairs = reduce(DataFrame.union, [stored(all_pairs(part)) for part in slices]).distinct()
+    late = reduce(DataFrame.union, [stored(open_ones(part)) for part in groups])
+    early = stored(reduce(DataFrame.union, [meeting(part, late, "rid", "rid_a") for part in groups]))
     for part in slices:
         discard(part)
-    pairs = stored(pairs.join(first_pairs, ["a", "b"], "left_anti"))
-    more = matching(pairs).select(F.col("b").alias("rid")).distinct()
+    found = tokens_of(late.select("rid").union(early.select("rid")))
+    both = "size(array_intersect(tokens, tokens_a))"
+    exact = f"{fits} AND 100 * {both} >= {percent} * (size(tokens) + size(tokens_a) - {both})"
+    more = stored(meeting(late.join(found, "rid"), early.join(found, "rid"), "rid_a", "rid", exact).select("rid").distinct())
     met = stored(gone.union(more))
     return copies.union(met).union(twins.join(met.select(F.col("rid").alias("first")).distinct(), "first").select("rid"))
 
