@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from tickloom.llm.common import batches, chunks, discard, hashed_words, mixed, stored
-from tickloom.llm.setjoin import TokenCounts, overlaps, repeated, token_counts
+from tickloom.llm.setjoin import Repeated, TokenCounts, marked, overlaps, repeated, token_counts
 
 PERCENT = 80
 # Rows without an id come after the largest one: their line numbers start where no text's end.
@@ -28,6 +29,8 @@ SKETCH = ("s0", "s1", "s2", "s3")
 # Tokens of a run at most, and how many bits rarer than one of all tokens a shorter one has to be.
 RUN = 4
 MARGIN = 8
+# Signatures that a task sends on at once, and about how many are compared at once.
+BLOCK = 1 << 20
 
 
 def line_words(texts: list[str | None], wanted: list[list[int]] | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -59,6 +62,19 @@ def lists(values: np.ndarray, sizes: np.ndarray) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(sizes)), pa.int32()), pa.array(values.view(np.int64)))
 
 
+def packed(values: np.ndarray, sizes: np.ndarray) -> pa.Array:
+    """Lists of values as bytes, which Spark moves whole."""
+    ends = (values.itemsize * np.append(0, np.cumsum(sizes))).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(values))])
+
+
+def unpacked(bodies: pa.Array, kind: type) -> pa.ListArray:
+    size = np.dtype(kind).itemsize
+    values = np.frombuffer(b"".join(bodies.to_pylist()), kind)
+    sizes = pc.binary_length(bodies).to_numpy(zero_copy_only=False) // size
+    return pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(sizes)), pa.int32()), pa.array(values))
+
+
 def rids(doc: pa.Array, line: np.ndarray, key: pa.Array, at: np.ndarray) -> pa.StructArray:
     rows = pa.array(at, pa.int64())
     return pa.StructArray.from_arrays([doc.take(rows), pa.array(line, pa.int64()), key.take(rows)], ["doc", "line", "key"])
@@ -122,6 +138,7 @@ class Rarity:
     cells: np.ndarray
     once: int
     needed: int
+    total: int
 
     def of(self, tokens: np.ndarray) -> np.ndarray:
         return TokenCounts.of(self, tokens)
@@ -131,7 +148,7 @@ def rarity(counts: TokenCounts) -> Rarity:
     total = max(2, int(counts.cells.sum(dtype=np.int64)))
     bits = np.round(4 * np.log2(total / np.maximum(counts.cells, 1).astype(np.float64))).clip(0, 255).astype(np.uint8)
     once = int(np.round(4 * np.log2(total)).clip(0, 255))
-    return Rarity(bits, once, once + 4 * MARGIN)
+    return Rarity(bits, once, once + 4 * MARGIN, total)
 
 
 def rare_runs(rare: np.ndarray, sizes: np.ndarray, percent: int, once: int, needed: int) -> tuple[np.ndarray, np.ndarray]:
@@ -192,6 +209,41 @@ def runs(tokens: pa.ListArray, percent: int, lengths: pa.ListArray | None = None
     return sigs.view(np.int64), at[starts]
 
 
+def repeated_runs(rows: DataFrame, blocks: Callable[[Iterator[pa.RecordBatch]], Iterator[np.ndarray]], total: int) -> Repeated:
+    """Filter of the signatures that ``blocks`` makes of ``rows`` more than once, about ``total`` or fewer.
+
+    They are dealt out by their first bits in blocks of bytes, so many that those with the same
+    bits are about ``BLOCK``; a task sends a signature on at most twice at a time.
+    """
+    bits = (total // BLOCK).bit_length()
+
+    def dealt(values: np.ndarray) -> pa.RecordBatch:
+        found, times = np.unique(values.view(np.uint64), return_counts=True)
+        found = np.sort(np.concatenate([found, found[times > 1]]))
+        part = (found >> np.uint64(32) >> np.uint64(32 - bits)).astype(np.int64)
+        sizes = np.bincount(part, minlength=1 << bits)
+        parts = np.flatnonzero(sizes)
+        return pa.RecordBatch.from_arrays([pa.array(parts, pa.int64()), packed(found, sizes[parts])], ["part", "body"])
+
+    def deal(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, count = [], 0
+        for block in blocks(source):
+            held.append(block)
+            count += len(block)
+            if count >= BLOCK:
+                yield dealt(np.concatenate(held))
+                held, count = [], 0
+        if count:
+            yield dealt(np.concatenate(held))
+
+    def again(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bodies = [body for batch in frames for body in batch["body"].to_pylist()]
+        values = np.sort(np.frombuffer(b"".join(bodies), np.int64))
+        yield pa.RecordBatch.from_arrays([pa.array(np.unique(values[1:][values[1:] == values[:-1]]))], ["sig"])
+
+    return marked(stored(rows.mapInArrow(deal, "part bigint, body binary").groupBy("part").applyInArrow(again, "sig bigint")))
+
+
 def matches(documents: DataFrame, percent: int = PERCENT, again_rows: bool = True) -> DataFrame:
     """``rid`` of the lines of ``doc, first, key, text`` that match an earlier one. See ``dedup``.
 
@@ -222,20 +274,20 @@ def matches(documents: DataFrame, percent: int = PERCENT, again_rows: bool = Tru
             # Rarest first; the sort is stable, so equally rare ones stay in the order of their hash.
             order = np.argsort((of.astype(np.uint64) << np.uint64(8)) | (255 - rare), kind="stable")
             used, length = rare_runs(rare[order], sizes, percent, known.once, known.needed)
-            kept = pa.array(np.append(0, np.cumsum(np.bincount(of[used], minlength=len(at)))), pa.int32())
+            kept = np.bincount(of[used], minlength=len(at))
             # Half of a token's hash: tokens that agree in it only let more lines meet.
-            prefix = pa.array((hashes[order][used] >> np.uint64(32)).astype(np.uint32).view(np.int32))
+            prefix = (hashes[order][used] >> np.uint64(32)).astype(np.uint32)
             yield pa.RecordBatch.from_arrays(
                 [
                     rids(batch["doc"], numbers, batch["key"], at), pa.array(sizes, pa.int32()),
                     *[pa.array(x.view(np.int64)) for x in (*sums, *sketch)],
-                    pa.ListArray.from_arrays(kept, prefix), pa.ListArray.from_arrays(kept, pa.array(length[used])),
+                    packed(prefix, kept), packed(length[used], kept),
                 ],
                 ["rid", "n", "d1", "d2", *SKETCH, "prefix", "lengths"],
             )
 
     sketches = ", ".join(f"{k} bigint" for k in SKETCH)
-    kind = f"{RID}, n int, d1 bigint, d2 bigint, {sketches}, prefix array<int>, lengths array<tinyint>"
+    kind = f"{RID}, n int, d1 bigint, d2 bigint, {sketches}, prefix binary, lengths binary"
     rows = stored(documents.mapInArrow(sign, kind))
     # One row per set: its first line is indexed. Most sets stand in one line and are not moved.
     twice = context.broadcast(repeated(rows.select(F.col("d1").alias("sig"))))
@@ -266,17 +318,20 @@ def matches(documents: DataFrame, percent: int = PERCENT, again_rows: bool = Tru
             first = batch["taken"].to_numpy(zero_copy_only=False) | ~twice.value.among(batch["d1"].to_numpy())
             yield batch.filter(pa.array(first))
 
-    def all_runs(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def runs_of(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+        return runs(unpacked(batch["prefix"], np.int32), percent, unpacked(batch["lengths"], np.int8))
+
+    def all_runs(source: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
         for batch in of_sets(source):
-            yield pa.RecordBatch.from_arrays([pa.array(runs(batch["prefix"], percent, batch["lengths"])[0])], ["sig"])
+            yield runs_of(batch)[0]
 
     # Most runs stand in one set and meet nobody: they are not moved.
-    several = context.broadcast(repeated(reps(["prefix", "lengths"]).mapInArrow(all_runs, "sig bigint")))
+    several = context.broadcast(repeated_runs(reps(["prefix", "lengths"]), all_runs, shared.value.total))
 
     def shared_runs(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = several.value
         for batch in of_sets(source):
-            sigs, at = runs(batch["prefix"], percent, batch["lengths"])
+            sigs, at = runs_of(batch)
             kept = known.among(sigs)
             rows_of = pa.array(at[kept], pa.int64())
             columns = ["rid", "n", *SKETCH]
