@@ -241,7 +241,7 @@ def repeated_runs(rows: DataFrame, blocks: Callable[[Iterator[pa.RecordBatch]],
         values = np.sort(np.frombuffer(b"".join(bodies), np.int64))
         yield pa.RecordBatch.from_arrays([pa.array(np.unique(values[1:][values[1:] == values[:-1]]))], ["sig"])
 
-    return marked(stored(rows.mapInArrow(deal, "part bigint, body binary").groupBy("part").applyInArrow(again, "sig bigint")))
+    return marked(rows.mapInArrow(deal, "part bigint, body binary").groupBy("part").applyInArrow(again, "sig bigint"))
 
 
 def matches(documents: DataFrame, percent: int = PERCENT, again_rows: bool = True) -> DataFrame:

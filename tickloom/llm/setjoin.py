@@ -109,11 +109,12 @@ def repeated(signatures: DataFrame) -> Repeated:
     joins. Its size follows the number of repeated ones up to 32 MB; in a table too large
     for that it lets more pass, and the joins that follow drop them.
     """
-    return marked(stored(signatures.groupBy("sig").agg(F.count("*").alias("c")).filter("c > 1").select("sig")))
+    return marked(signatures.groupBy("sig").agg(F.count("*").alias("c")).filter("c > 1").select("sig"))
 
 
 def marked(twice: DataFrame) -> Repeated:
-    """The filter of the values in column ``sig`` of a stored table, which is deleted."""
+    """The filter of the values in column ``sig``."""
+    twice = stored(twice)
     wanted = 2 * twice.count()
     size = min(max(BITMAP[0], 1 << wanted.bit_length()), BITMAP[1])
     kind = "chunk int, part int, body binary"
